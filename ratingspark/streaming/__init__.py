@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analysis this library rebuilds has no stream, watermark, window or
+state construct: every input is a finished table. Nothing is built here;
+the package exists so the layout stays uniform. A user with a live feed
+of ratings appends it to the parquet ratings table and reruns the batch
+plans.
+"""
