@@ -15,7 +15,8 @@ squared-error sums scores every penalty. Stage 0 needs no per-penalty sum:
 its bias is S / (L + n) from the penalty-free (S, n).
 
 Bias tables are small dimensions (one row per item, user, year or month);
-each is persisted and broadcast only after its measured size is checked.
+each is written as a reliable checkpoint (which also keeps the next
+stage's plan short) and broadcast only after its measured size is checked.
 Keys listed in ``nullsafe`` join with ``<=>`` so the NULL-key group (no
 release year) finds its own bias.
 """
@@ -99,7 +100,9 @@ def fit_chain(frames, keys: list[str], lambdas: list[float], base="mu", rating:
                 F.count(F.lit(1)).alias("n"))
             table = agg.select(key, *[(F.col(f"_s{k}") / (F.lit(lam) + F.col("n"))).alias(f"b_{k}")
                                       for k, lam in enumerate(chain.lambdas)], "n")
-        kw = {} if max_broadcast_bytes is None else {"max_bytes": max_broadcast_bytes}
+        kw = {"materialize": "checkpoint"}
+        if max_broadcast_bytes is not None:
+            kw["max_bytes"] = max_broadcast_bytes
         chain.tables.append(broadcast_checked(table, **kw))
     return chain
 

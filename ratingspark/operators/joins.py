@@ -29,13 +29,21 @@ def _row_width(schema: T.StructType) -> int:
 
 
 def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      max_rows: int | None = None) -> DataFrame:
-    """Persist ``df`` (it is about to be joined, usually more than once),
+                      max_rows: int | None = None, materialize: str = "persist") -> DataFrame:
+    """Materialize ``df`` (it is about to be joined, usually more than once),
     measure its row count and return a broadcast-hinted frame only when the
-    estimated size is under ``max_bytes``; otherwise the same persisted frame
-    without a hint, so the planner uses a shuffle join.
+    estimated size is under ``max_bytes``; otherwise the same frame without a
+    hint, so the planner uses a shuffle join.
+
+    ``materialize='checkpoint'`` writes a reliable checkpoint to the shared
+    checkpoint folder, which also cuts the lineage: later plans that join the
+    table see a scan, not the plan that produced it.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if materialize == "checkpoint":
+        from ratingspark.session import cut_lineage
+        df = cut_lineage(df)
+    else:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     limit = max_bytes // _row_width(df.schema)
     if max_rows is not None:

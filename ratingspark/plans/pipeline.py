@@ -5,8 +5,9 @@
     training_set, test_set = tidied edx, validation
     train_set, cv_set      = the same split applied to training_set
 
-The sets are lazy DataFrames; the repaired split is persisted because
-every later plan reads it several times.
+The four sets are written once as reliable checkpoints in the shared
+checkpoint folder: every model reads them many times, and the cut keeps
+later plans (bias chains, grids, SVD passes) from re-planning the split.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ratingspark.functions.columns import epoch_to_date, release_year, round_month, tidy_title
 from ratingspark.operators.joins import broadcast_checked
 from ratingspark.operators.split import holdout_split
+from ratingspark.session import cut_lineage
 from ratingspark.sources.fixtures import movies_from_parts, ratings_from_orders
 
 TIDY_COLUMNS = ["userId", "movieId", "rating", "rating_date", "release_year", "tidy_title", "genres"]
@@ -88,24 +90,24 @@ class RatingSets:
 
     @cached_property
     def training_set(self) -> DataFrame:
-        return tidy(self.edx)
+        return cut_lineage(tidy(self.edx))
 
     @cached_property
     def test_set(self) -> DataFrame:
-        return tidy(self.validation)
+        return cut_lineage(tidy(self.validation))
 
     @cached_property
     def _inner(self) -> tuple[DataFrame, DataFrame]:
         return holdout_split(self.training_set, p=HOLDOUT_FRACTION, seed=INNER_SEED,
                              key_cols=["userId", "movieId", "rating", "rating_date"], method=self.split_method)
 
-    @property
+    @cached_property
     def train_set(self) -> DataFrame:
-        return self._inner[0]
+        return cut_lineage(self._inner[0])
 
-    @property
+    @cached_property
     def cv_set(self) -> DataFrame:
-        return self._inner[1]
+        return cut_lineage(self._inner[1])
 
     @cached_property
     def mu(self) -> float:
