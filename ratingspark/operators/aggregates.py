@@ -7,6 +7,8 @@ Every function returns a DataFrame; the few scalars a function needs
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +92,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     else:
         width = (hi - lo) / (bins - 1)
         boundary = width / 2
-        shift = (lo - boundary) // width
+        shift = math.floor((lo - boundary) / width)
         origin = boundary + shift * width
         max_x = hi + (1 - 1e-08) * width
-        nbins = int((max_x - origin) / width + 1e-10)
+        nbins = int(math.floor((max_x - origin) / width + 1e-10))
     fuzz = 1e-08 * width
     idx = F.ceil((F.col(col) - F.lit(origin) - F.lit(fuzz)) / F.lit(width)).cast("int")
     idx = F.least(F.greatest(idx, F.lit(1)), F.lit(nbins))
