@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_sets", "q_models", "q_eda", "q_views", "q_factors", "q_io"]
+MODULES = ["q_sets", "q_models", "q_eda", "q_views", "q_factors", "q_io", "q_more"]
 
 
 def _load():

@@ -17,8 +17,10 @@ def _cond(a: str, b: str, key: str) -> str:
     return f"{a}.{key} IS NOT DISTINCT FROM {b}.{key}" if key in NULLSAFE else f"{a}.{key} = {b}.{key}"
 
 
-def chain_ctes(p: str, lambdas, keys: list[str], frames: list[str]) -> str:
-    out = [f"{p}_lam AS (SELECT lam FROM {lam_values(lambdas)})"]
+def chain_ctes(p: str, lambdas, keys: list[str], frames: list[str], lam_sql: str | None = None) -> str:
+    """``lam_sql`` (a SELECT yielding column ``lam``) replaces the literal list."""
+    lam = lam_sql if lam_sql is not None else f"SELECT lam FROM {lam_values(lambdas)}"
+    out = [f"{p}_lam AS ({lam})"]
     for j, key in enumerate(keys):
         joins = "".join(f" LEFT JOIN {p}_g{i} ON {p}_g{i}.lam = l.lam AND {_cond('t', f'{p}_g{i}', keys[i])}"
                         for i in range(j))
@@ -59,3 +61,11 @@ def with_base(rel: str, base: str = "m.mu", month: bool = False) -> str:
     from ratingspark.plans.oracle import round_month
     mcol = f", {round_month('t.rating_date')} AS rating_month" if month else ""
     return f"(SELECT t.*{mcol}, {base} AS base FROM {rel} t CROSS JOIN mu_t m)"
+
+
+def rmse_raw(pred_rel: str, model: str, param_sql: str) -> str:
+    """Unrounded (model, param, r, n, n_missing) for composing tables."""
+    return f"""SELECT '{model}' AS model, CAST({param_sql} AS DOUBLE) AS param,
+       CASE WHEN count(pred) = count(*) THEN sqrt(avg((rating - pred) * (rating - pred))) END AS r,
+       count(*) AS n, count(*) - count(pred) AS n_missing
+FROM {pred_rel} q"""

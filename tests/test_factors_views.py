@@ -105,3 +105,20 @@ def test_als_runs_and_scores(spark):
     assert curve.count() == 2
     pred = model.transform(df).select(F.col("rating"), F.col("prediction").alias("pred"))
     assert A.rmse(pred).first()["rmse"] < 1.5
+
+
+def test_fixture_svd_against_numpy(spark):
+    """The registered SVD fit on the sf0.001 residual matrix against a dense
+    numpy SVD (brute force on a small fixture)."""
+    from ratingspark.plans import factors as FX
+    from ratingspark.plans.pipeline import RatingSets
+    from tests.conftest import SF_SMALL
+    s = RatingSets(spark, SF_SMALL)
+    cells = FX.residual_cells(s).toPandas()
+    fit = truncated_svd(spark.createDataFrame(cells), rank=5, passes=40)
+    u = {v: i for i, v in enumerate(sorted(cells.userId.unique()))}
+    it = {v: i for i, v in enumerate(sorted(cells.movieId.unique()))}
+    M = np.zeros((len(u), len(it)))
+    M[cells.userId.map(u), cells.movieId.map(it)] = cells.res
+    sv = np.linalg.svd(M, compute_uv=False)
+    assert fit.sigma == pytest.approx(list(sv[:5]), rel=2e-3)

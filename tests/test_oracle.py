@@ -53,7 +53,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_iterative():
     no_oracle = set(E.queries()) - set(ORACLES)
-    assert no_oracle <= SLOW | {"mdl_ladder", "snk_metric"}
+    assert no_oracle <= SLOW | {"snk_metric", "fn_concat_msg"}
 
 
 def test_entry_runs(spark):
