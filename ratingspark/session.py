@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,7 +65,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, how: str = "table"):
+    """Materialize ``df`` in the shared checkpoint folder and return a frame
+    that reads it back, so later plans start from a scan.
+
+    ``how='table'`` (default) writes parquet: one job, and later reads get
+    column pruning and filter pushdown. ``how='checkpoint'`` uses Spark's
+    reliable RDD checkpoint (the frame is persisted first so the checkpoint
+    write does not recompute it). A local checkpoint is never used: the data
+    must survive the loss of the executor that computed it.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    if how == "checkpoint":
+        from pyspark import StorageLevel
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
