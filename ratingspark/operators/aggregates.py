@@ -19,6 +19,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Spark's exact percentile keeps a value -> count map that is merged into one
+# buffer; fine for a rating scale or a few million distinct means, not for
+# hundreds of millions. Above this many distinct values (HyperLogLog
+# estimate) quantiles switch to percentile_approx at the given accuracy.
+EXACT_QUANTILE_DISTINCT = 5_000_000
+APPROX_ACCURACY = 1_000_000
+
+
+def quantile_expr(df: DataFrame, col: str, probs: list[float],
+                  exact_limit: int = EXACT_QUANTILE_DISTINCT) -> Column:
+    """Array of quantiles of ``col`` at ``probs`` (linear interpolation when
+    exact)."""
+    nd = df.agg(F.approx_count_distinct(col)).first()[0]
+    if nd <= exact_limit:
+        return F.percentile(F.col(col), probs)
+    return F.percentile_approx(F.col(col), probs, APPROX_ACCURACY)
+
+
 def global_mean(df: DataFrame, col: str = "rating", name: str = "mu") -> DataFrame:
     return df.agg(F.avg(col).alias(name))
 
@@ -63,7 +81,7 @@ def argmin(curve: DataFrame, value: str = "rmse", param: str = "param") -> DataF
 def summary_stats(df: DataFrame, col: str, label: str) -> DataFrame:
     """Min, first quartile, median, mean, third quartile, max (quartiles by
     linear interpolation between order statistics)."""
-    q = F.percentile(F.col(col), [0.25, 0.5, 0.75])
+    q = quantile_expr(df, col, [0.25, 0.5, 0.75])
     return df.agg(
         F.lit(label).alias("variable"),
         F.min(col).cast("double").alias("min"),
@@ -120,8 +138,8 @@ def qq_points(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     probs = ppoints(points)
     theo = normal_quantiles(probs)
     z25, z75 = normal_quantiles([0.25, 0.75])
-    agg = df.agg(F.percentile(F.col(col), probs).alias("_sq"),
-                 F.percentile(F.col(col), [0.25, 0.75]).alias("_qq"))
+    agg = df.agg(quantile_expr(df, col, probs).alias("_sq"),
+                 quantile_expr(df, col, [0.25, 0.75]).alias("_qq"))
     slope = (F.col("_qq")[1] - F.col("_qq")[0]) / F.lit(z75 - z25)
     agg = agg.select("_sq", slope.alias("slope"), (F.col("_qq")[0] - slope * F.lit(z25)).alias("intercept"))
     grid = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(float(p)).alias("p"), F.lit(float(t)).alias("theoretical"))

@@ -36,9 +36,10 @@ QUARTILE_PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 
 def rating_breaks(df: DataFrame, y: str = "rating") -> list[float]:
-    """Exact quartile breaks of ``y`` (linear interpolation). Spark's exact
-    percentile keeps a value -> count map, small for a rating scale."""
-    return list(df.agg(F.percentile(F.col(y), QUARTILE_PROBS).alias("q")).first()["q"])
+    """Quartile breaks of ``y`` (linear interpolation; exact for a rating
+    scale, approximate beyond a few million distinct values)."""
+    from ratingspark.operators.aggregates import quantile_expr
+    return list(df.agg(quantile_expr(df, y, QUARTILE_PROBS).alias("q")).first()["q"])
 
 
 def stratum_expr(y: str, breaks: list[float]):
