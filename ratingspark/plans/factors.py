@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ratingspark.functions.columns import clamp
 from ratingspark.operators.aggregates import argmin, sum_duplicates
-from ratingspark.operators.mf import int_ids, tune_als
+from ratingspark.operators.mf import apply_ids, int_ids, restore_ids, tune_als
 from ratingspark.operators.svd import SVDFit, factor_dot, truncated_svd
 from ratingspark.plans import models as M
 from ratingspark.plans.pipeline import RatingSets
@@ -76,18 +76,21 @@ def svd_training_predictions(s: RatingSets, f: int | None = None) -> DataFrame:
 
 
 def mf_fit(s: RatingSets):
+    """(curve, best model, user id map, item id map); maps are None when the
+    ids already fit ALS's INT columns."""
     def build():
-        train, _ = int_ids(s.training_set.select("userId", "movieId", "rating"), "userId")
-        train, _ = int_ids(train, "movieId")
-        return tune_als(train, MF_RANKS, MF_REG, MF_FOLDS)
+        train, umap = int_ids(s.training_set.select("userId", "movieId", "rating"), "userId")
+        train, imap = int_ids(train, "movieId")
+        curve, model = tune_als(train, MF_RANKS, MF_REG, MF_FOLDS)
+        return curve, model, umap, imap
     return M._memo(s, ("mf",), build)
 
 
 def mf_test_predictions(s: RatingSets) -> DataFrame:
-    _, model = mf_fit(s)
+    """Unclamped ALS predictions for test_set; NaN (unknown id) -> NULL."""
+    _, model, umap, imap = mf_fit(s)
     test = s.test_set.select("userId", "movieId", "rating", "rating_date")
-    scored = model.transform(test.withColumn("userId", F.col("userId").cast("int"))
-                             .withColumn("movieId", F.col("movieId").cast("int")))
-    return scored.withColumn("pred", F.when(~F.isnan("prediction"), F.col("prediction").cast("double"))) \
-                 .drop("prediction").withColumn("userId", F.col("userId").cast("bigint")) \
-                 .withColumn("movieId", F.col("movieId").cast("bigint"))
+    test = apply_ids(apply_ids(test, "userId", umap), "movieId", imap)
+    scored = model.transform(test)
+    scored = scored.withColumn("pred", F.when(~F.isnan("prediction"), F.col("prediction").cast("double")))
+    return restore_ids(scored.drop("prediction"), ["userId", "movieId"])

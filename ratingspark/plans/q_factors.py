@@ -97,7 +97,7 @@ def interact_view_final(spark, sf_dir):
 @register("tune_mf")
 def tune_mf(spark, sf_dir):
     """ALS rank in {10, 20}, L2 0.01, 5-fold CV RMSE."""
-    curve, _ = FX.mf_fit(sets(spark, sf_dir))
+    curve = FX.mf_fit(sets(spark, sf_dir))[0]
     return r6(curve)
 
 
@@ -110,6 +110,6 @@ def mdl_mf(spark, sf_dir):
 @register("mdl_mf_predict")
 def mdl_mf_predict(spark, sf_dir):
     s = sets(spark, sf_dir)
-    _, model = FX.mf_fit(s)
+    model = FX.mf_fit(s)[1]
     out = A.rmse(FX.mf_test_predictions(s))
     return r6(out.select(F.lit("mf").alias("model"), F.lit(float(model.rank)).alias("param"), "rmse", "n", "n_missing"))
