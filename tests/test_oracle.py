@@ -38,6 +38,8 @@ def con():
 
 
 ORACLES = E.oracle_sql()
+TYPES = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+         "DateType": "DATE", "BooleanType": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -48,6 +50,8 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     exp = _rows(cur.fetchall(), cols)
     assert sorted(df.columns) == sorted(cols)
+    spark_types = {f.name: TYPES.get(type(f.dataType).__name__) for f in df.schema.fields}
+    assert spark_types == {d[0]: str(d[1]) for d in cur.description}
     assert got == exp
 
 
