@@ -51,20 +51,27 @@ _LADDER_CTES = ",\n".join([
     _SYM_FIT,
 ])
 
-_LADDER_SQL = O.with_sets(
-    "SELECT model, param, round(r, 6) AS rmse, n, n_missing, r < 0.8649 AS below_goal FROM ("
-    + "SELECT 'naive' AS model, CAST(NULL AS DOUBLE) AS param, sqrt(avg((t.rating - m.mu) * (t.rating - m.mu))) AS r, "
-      "count(*) AS n, CAST(0 AS BIGINT) AS n_missing FROM test_set t CROSS JOIN mu_t m"
+_LADDER_ROWS = (
+    "SELECT 'naive' AS model, CAST(NULL AS DOUBLE) AS param, sqrt(avg((t.rating - m.mu) * (t.rating - m.mu))) AS r, "
+    "count(*) AS n, CAST(0 AS BIGINT) AS n_missing FROM test_set t CROSS JOIN mu_t m"
     + " UNION ALL " + rmse_raw(chain_pred("b1", MU, with_base("test_set"), False), "bias", repr(M.LAMBDA_BIAS))
     + " UNION ALL " + rmse_raw(chain_pred("b", MU, with_base("test_set"), True), "bias_clamped", repr(M.LAMBDA_BIAS_CLAMPED))
     + " UNION ALL " + rmse_raw(chain_pred("t", M.TIME_KEYS, "cs", True), "bias_time", repr(M.LAMBDA_TIME))
     + " UNION ALL " + rmse_raw(chain_pred("s", M.ALL_KEYS, with_base("test_set", month=True), True),
-                               "bias_time_sym", repr(M.LAMBDA_SYM))
-    + ") x", _LADDER_CTES)
+                               "bias_time_sym", repr(M.LAMBDA_SYM)))
+
+_LADDER_SQL = O.with_sets(
+    "SELECT model, param, round(r, 6) AS rmse, n, n_missing, r < 0.8649 AS below_goal FROM (" + _LADDER_ROWS + ") x",
+    _LADDER_CTES)
 ORACLES["mdl_ladder"] = _LADDER_SQL
+ORACLES["snk_metric"] = O.with_sets(
+    "SELECT 'ladder' AS run, model, param, round(r, 6) AS rmse, n, n_missing FROM (" + _LADDER_ROWS + ") x",
+    _LADDER_CTES)
 
 
-@register("fn_concat_msg")
+@register("fn_concat_msg", O.with_sets(
+    "SELECT 'RMSE for ' || model || ' model is ' || CAST(round(r, 6) AS VARCHAR) AS message FROM ("
+    + _LADDER_ROWS + ") x", _LADDER_CTES))
 def fn_concat_msg(spark, sf_dir):
     """Labelled metric lines ("RMSE for <model> is <value>")."""
     lad = QUERIES["mdl_ladder"](spark, sf_dir)

@@ -57,7 +57,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_iterative():
     no_oracle = set(E.queries()) - set(ORACLES)
-    assert no_oracle <= SLOW | {"snk_metric", "fn_concat_msg"}
+    assert no_oracle <= SLOW
 
 
 def test_entry_runs(spark):
