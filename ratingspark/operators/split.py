@@ -35,6 +35,12 @@ from pyspark.sql import functions as F
 QUARTILE_PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 
 
+# A rating scale has a handful of values; up to this many distinct values the
+# split reads the data once for a value -> count table and derives the exact
+# quartile breaks and every stratum's size from it on the driver.
+VALUE_TABLE_LIMIT = 100_000
+
+
 def rating_breaks(df: DataFrame, y: str = "rating") -> list[float]:
     """Quartile breaks of ``y`` (linear interpolation; exact for a rating
     scale, approximate beyond a few million distinct values)."""
@@ -42,6 +48,45 @@ def rating_breaks(df: DataFrame, y: str = "rating") -> list[float]:
     return list(df.agg(quantile_expr(df, y, QUARTILE_PROBS).alias("q")).first()["q"])
 
 
+def value_counts(df: DataFrame, y: str, limit: int = VALUE_TABLE_LIMIT):
+    """[(value, count)] of ``y`` when it has at most ``limit`` distinct
+    values (one partial + final aggregate), else None."""
+    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
+    return None if len(rows) > limit else [(r[0], r[1]) for r in rows]
+
+
+def breaks_from_counts(vc, probs=QUARTILE_PROBS) -> list[float]:
+    """Linear-interpolation quantiles (position (n - 1) * p between order
+    statistics) from a value -> count table; NULL values are ignored."""
+    vals = sorted((v, c) for v, c in vc if v is not None)
+    n = sum(c for _, c in vals)
+    cum, ends = 0, []
+    for v, c in vals:
+        cum += c
+        ends.append((cum, v))       # order statistics [cum - c, cum) hold v
+
+    def order_stat(i):             # i-th smallest, 0-based
+        for end, v in ends:
+            if i < end:
+                return v
+        return ends[-1][1]
+
+    out = []
+    for p in probs:
+        h = (n - 1) * p
+        lo = math.floor(h)
+        a, b = order_stat(lo), order_stat(min(lo + 1, n - 1))
+        out.append(a + (h - lo) * (b - a))
+    return out
+
+
+def stratum_of(v, breaks: list[float]) -> int:
+    """Python twin of ``stratum_expr`` for one value (NULL -> 0)."""
+    if v is None:
+        return 0
+    return sum(1 for q in breaks[1:-1] if q > breaks[0] and v > q)
+
+
 def stratum_expr(y: str, breaks: list[float]):
     """Index of the quartile interval of ``y``. Interior breaks equal to the
     minimum are dropped (their interval is empty after ``unique``)."""
@@ -68,9 +113,18 @@ def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
                        flag: str = "_holdout") -> DataFrame:
     """Add boolean column ``flag``: True for the drawn hold-out rows."""
     key_cols = key_cols or ["userId", "movieId", y, "timestamp"]
-    breaks = rating_breaks(df, y)
+    vc = value_counts(df, y)
+    if vc is not None:
+        # one pass: breaks and stratum sizes both follow from the value table
+        breaks = breaks_from_counts(vc)
+        counts: dict[int, int] = {}
+        for v, c in vc:
+            counts[stratum_of(v, breaks)] = counts.get(stratum_of(v, breaks), 0) + c
+    else:
+        breaks = rating_breaks(df, y)
     h = df.withColumn("_s", stratum_expr(y, breaks)).withColumn("_h", hash_expr(key_cols, seed, y))
-    counts = {r["_s"]: r["n"] for r in h.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if vc is None:
+        counts = {r["_s"]: r["n"] for r in h.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
     need = {s: int(math.ceil(p * n)) for s, n in counts.items()}
     need_col = F.create_map(*[F.lit(x) for kv in need.items() for x in kv])[F.col("_s")]
     if method == "auto":

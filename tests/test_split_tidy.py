@@ -88,3 +88,14 @@ def test_round_month(spark, day, expected):
 def test_epoch_date_is_utc(spark):
     df = spark.createDataFrame([(86399,), (86400,)], "ts long")
     assert [r[0] for r in df.select(epoch_to_date("ts")).collect()] == [dt.date(1970, 1, 1), dt.date(1970, 1, 2)]
+
+
+def test_breaks_from_value_table_equal_percentile(spark):
+    import random
+    from ratingspark.operators.split import QUARTILE_PROBS, breaks_from_counts, value_counts
+    rnd = random.Random(5)
+    for n in (1, 2, 7, 101, 1000):
+        vals = [rnd.choice([0.5, 1.0, 2.5, 3.0, 4.5, 5.0]) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals], "rating double")
+        exact = df.agg(F.percentile("rating", QUARTILE_PROBS)).first()[0]
+        assert breaks_from_counts(value_counts(df, "rating")) == pytest.approx(exact, abs=1e-12)
