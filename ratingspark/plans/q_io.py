@@ -10,7 +10,7 @@ from ratingspark.plans import models as M
 from ratingspark.plans import oracle as O
 from ratingspark.plans.q_models import _mu_chain_sql
 from ratingspark.plans.queries import TIDY, r6, register, sets
-from ratingspark.plans.sql_models import chain_pred, with_base
+from ratingspark.plans.sql_models import chain_ctes, chain_pred, rmse_raw, with_base
 from ratingspark.sources import files as IO
 from ratingspark.sources.fixtures import ratings_from_events
 
@@ -97,3 +97,26 @@ def agg_dup_sum_skewed(spark, sf_dir):
     """Duplicate (user, item) cells of the skewed table summed."""
     e = ratings_from_events(spark, sf_dir)
     return r6(e.groupBy("userId", "movieId").agg(F.sum("rating").alias("rating"), F.count(F.lit(1)).alias("n")))
+
+
+_SKEW_CTES = (O.EVENTS + ",\nsk_mu AS (SELECT avg(rating) AS mu FROM skewed),\n"
+              "sk_frame AS (SELECT s.*, m.mu AS base FROM skewed s CROSS JOIN sk_mu m),\n"
+              + chain_ctes("k", [M.LAMBDA_BIAS_CLAMPED], M.MU_KEYS, ["sk_frame", "sk_frame"]))
+
+
+@register("mdl_bias_skewed", O.with_sets(
+    "SELECT model, param, round(r, 6) AS rmse, n, n_missing FROM ("
+    + rmse_raw(chain_pred("k", M.MU_KEYS, "sk_frame", True), "bias_clamped_skewed", repr(M.LAMBDA_BIAS_CLAMPED))
+    + ") x", _SKEW_CTES))
+def mdl_bias_skewed(spark, sf_dir):
+    """Clamped movie + user bias fitted and scored on the skewed events table
+    (100 items, dense user x item, many duplicate cells)."""
+    from ratingspark.operators import aggregates as A
+    from ratingspark.operators.bias import fit_chain, predict_chain
+    e = ratings_from_events(spark, sf_dir)
+    mu = A.mean_value(e)
+    chain = fit_chain(e, M.MU_KEYS, [M.LAMBDA_BIAS_CLAMPED], base=mu)
+    pred = predict_chain(e, chain, base=mu, prefix="_p", clamp=True).withColumnRenamed("_p0", "pred")
+    out = A.rmse(pred)
+    return r6(out.select(F.lit("bias_clamped_skewed").alias("model"), F.lit(M.LAMBDA_BIAS_CLAMPED).alias("param"),
+                         "rmse", "n", "n_missing"))
