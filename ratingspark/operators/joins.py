@@ -39,9 +39,9 @@ def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     checkpoint folder, which also cuts the lineage: later plans that join the
     table see a scan, not the plan that produced it.
     """
-    if materialize == "checkpoint":
+    if materialize in ("checkpoint", "table"):
         from ratingspark.session import cut_lineage
-        df = cut_lineage(df)
+        df = cut_lineage(df, how="checkpoint" if materialize == "checkpoint" else "table")
     else:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
