@@ -51,10 +51,6 @@ def group_mean(df: DataFrame, key: str, col: str = "rating", name: str | None =
     return df.groupBy(key).agg(F.avg(col).alias(name or f"avg_{col}"))
 
 
-def group_count_sum(df: DataFrame, key: str, value) -> DataFrame:
-    return df.groupBy(key).agg(F.sum(_c(value)).alias("s"), F.count(F.lit(1)).alias("n"))
-
-
 def shrunk_mean(df: DataFrame, key: str, value, lam: float, name: str = "bias") -> DataFrame:
     """sum(value) / (lam + n) per key: partial + final hash aggregate."""
     return (df.groupBy(key).agg(F.sum(_c(value)).alias("_s"), F.count(F.lit(1)).alias("_n"))

@@ -54,9 +54,6 @@ class BiasChain:
     def m(self) -> int:
         return len(self.lambdas)
 
-    def bias_cols(self) -> list[str]:
-        return [f"b_{k}" for k in range(self.m)]
-
 
 def _attach(df: DataFrame, chain: BiasChain, upto: int, acc_prefix: str) -> DataFrame:
     """Join stage tables 0..upto-1 to ``df`` and fold their biases into the

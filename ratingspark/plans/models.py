@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingspark.functions.columns import clamp as clamp_col
 from ratingspark.functions.columns import param_grid, round_month
 from ratingspark.operators.aggregates import argmin
 from ratingspark.operators.bias import BiasChain, fit_chain, predict_chain, tune_chain

@@ -153,12 +153,15 @@ def tune_bias_clamped(spark, sf_dir):
 
 
 @register("agg_argmin", O.with_sets(
-    "SELECT * FROM (" + curve_select(chain_pred("g", MU, with_base("cv_set"), True))
-    + ") c ORDER BY rmse ASC NULLS LAST, param ASC LIMIT 1",
+    "SELECT param, round(r, 6) AS rmse, n, n_pred FROM (SELECT lam AS param, CASE WHEN count(pred) = count(*) "
+    "THEN sqrt(sum((rating - pred) * (rating - pred)) / count(*)) END AS r, count(*) AS n, count(pred) AS n_pred "
+    "FROM " + chain_pred("g", MU, with_base("cv_set"), True) + " q GROUP BY lam) c "
+    "ORDER BY r ASC NULLS LAST, param ASC LIMIT 1",
     "g_frame AS " + with_base("train_set") + ",\n" + chain_ctes("g", M.GRID_BIAS, MU, ["g_frame", "g_frame"])))
 def agg_argmin(spark, sf_dir):
-    """First minimum of the clamped tuning curve."""
-    return A.argmin(r6(M.tune_bias_curve(sets(spark, sf_dir), clamp=True)))
+    """First minimum of the clamped tuning curve (taken on unrounded RMSE;
+    rounding is for display only)."""
+    return r6(A.argmin(M.tune_bias_curve(sets(spark, sf_dir), clamp=True)))
 
 
 def _time_sql_ctes(lam_b: float, train_rel: str, score_rel: str) -> str:
@@ -301,12 +304,6 @@ def fn_round_month(spark, sf_dir):
 
 # ---- the ladder -----------------------------------------------------------------
 
-_LADDER_PARTS = [
-    ("bias", M.LAMBDA_BIAS, False, "mdl_bias"),
-    ("bias_clamped", M.LAMBDA_BIAS_CLAMPED, True, "mdl_bias_clamped"),
-]
-
-
 @register("mdl_ladder")
 def mdl_ladder(spark, sf_dir):
     """model -> RMSE on test_set for every bias model, against the goal."""
