@@ -61,17 +61,19 @@ def best_rank(s: RatingSets, ranks=SVD_RANKS) -> int:
     return int(argmin(tune_svd_curve(s, ranks)).first()["param"])
 
 
-def svd_test_predictions(s: RatingSets, f: int | None = None) -> DataFrame:
+def svd_test_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS)) -> DataFrame:
+    """clamp(unclamped four-bias sum + rank-f SVD residual) on test_set."""
     f = f or best_rank(s)
     base = M.predict(M.with_month(s.test_set), M.sym_chain(s), s.mu, name="_raw")
-    out = factor_dot(base, svd_fit(s), [f], prefix="res_pred_svd")
+    out = factor_dot(base, svd_fit(s, rank), [f], prefix="res_pred_svd")
     return out.withColumn("pred", clamp(F.col("_raw") + F.col("res_pred_svd"))).drop("_raw")
 
 
-def svd_training_predictions(s: RatingSets, f: int | None = None) -> DataFrame:
+def svd_training_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS)) -> DataFrame:
+    """clamp(b_t_pred + rank-f SVD residual) on training_set."""
     f = f or best_rank(s)
     tm = M.with_bt(s, s.training_set)
-    out = factor_dot(tm, svd_fit(s), [f], prefix="res_pred")
+    out = factor_dot(tm, svd_fit(s, rank), [f], prefix="res_pred")
     return out.withColumn("final_pred", clamp(F.col("b_t_pred") + F.col("res_pred")))
 
 
