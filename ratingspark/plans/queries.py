@@ -50,7 +50,7 @@ _SETS: dict[tuple, RatingSets] = {}
 def sets(spark: SparkSession, sf_dir: str) -> RatingSets:
     """One cached RatingSets per (session, input directory)."""
     apply_session_settings(spark)
-    key = (id(spark), sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _SETS:
         _SETS[key] = RatingSets(spark, sf_dir)
     return _SETS[key]
