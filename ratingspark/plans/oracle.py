@@ -41,7 +41,7 @@ EVENTS = """skewed AS (
          CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
   FROM events)"""
 
-MOVIELENS = """movielens AS (
+JOINED = """joined AS (
   SELECT r.movieId, r.userId, r.rating, r."timestamp", m.title, m.genres
   FROM ratings r LEFT JOIN movies m ON r.movieId = m.movieId)"""
 
@@ -96,15 +96,15 @@ TIDY_COLS = ["userId", "movieId", "rating", "rating_date", "release_year", "tidy
 
 
 def sets_ctes() -> str:
-    """ratings, movies, movielens, edx/validation, training_set/test_set,
+    """ratings, movies, joined, development/validation, training_set/test_set,
     train_set/cv_set and mu."""
-    outer = split_ctes("movielens", "o", OUTER_SEED, ["userId", "movieId", "rating", "timestamp"], ML_COLS)
+    outer = split_ctes("joined", "o", OUTER_SEED, ["userId", "movieId", "rating", "timestamp"], ML_COLS)
     inner = split_ctes("training_set", "i", INNER_SEED, ["userId", "movieId", "rating", "rating_date"], TIDY_COLS)
     return f"""{RATINGS},
 {MOVIES},
-{MOVIELENS},
+{JOINED},
 {outer},
-edx AS (SELECT * FROM o_train),
+development AS (SELECT * FROM o_train),
 validation AS (SELECT * FROM o_test),
 training_set AS ({tidy_select('o_train')}),
 test_set AS ({tidy_select('o_test')}),

@@ -1,13 +1,14 @@
 """Ingest -> split -> tidy: the data sets every model and view starts from.
 
-    movielens     = ratings LEFT JOIN movies (movie table broadcast after a size check)
-    edx, validation = stratified 10 % hold-out of movielens, repaired
-    training_set, test_set = tidied edx, validation
+    joined                  = ratings LEFT JOIN movies (movie table broadcast after a size check)
+    development, validation = stratified 10 % hold-out of joined, repaired
+    training_set, test_set = tidied development, validation
     train_set, cv_set      = the same split applied to training_set
 
-The four sets are written once as reliable checkpoints in the shared
-checkpoint folder: every model reads them many times, and the cut keeps
-later plans (bias chains, grids, SVD passes) from re-planning the split.
+The four tidy sets are written once as parquet tables in the shared
+checkpoint folder and read back: every model reads them many times, the
+scans prune columns, and the cut keeps later plans (bias chains, grids,
+SVD passes) from re-planning the split.
 """
 
 from __future__ import annotations
@@ -72,16 +73,16 @@ class RatingSets:
         return self._movies if self._movies is not None else movies_from_parts(self.spark, self.sf_dir)
 
     @cached_property
-    def movielens(self) -> DataFrame:
+    def joined(self) -> DataFrame:
         return join_movies(self.ratings, self.movies).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def _outer(self) -> tuple[DataFrame, DataFrame]:
-        return holdout_split(self.movielens, p=HOLDOUT_FRACTION, seed=OUTER_SEED,
+        return holdout_split(self.joined, p=HOLDOUT_FRACTION, seed=OUTER_SEED,
                              key_cols=["userId", "movieId", "rating", "timestamp"], method=self.split_method)
 
     @property
-    def edx(self) -> DataFrame:
+    def development(self) -> DataFrame:
         return self._outer[0]
 
     @property
@@ -90,7 +91,7 @@ class RatingSets:
 
     @cached_property
     def training_set(self) -> DataFrame:
-        return cut_lineage(tidy(self.edx))
+        return cut_lineage(tidy(self.development))
 
     @cached_property
     def test_set(self) -> DataFrame:

@@ -82,14 +82,14 @@ def fn_concat_msg(spark, sf_dir):
 _TITLES_SQL = O.with_sets(
     "SELECT title, CASE WHEN regexp_matches(title, '\\(\\d{4}\\)') THEN regexp_replace(regexp_extract(title, "
     "'\\(\\d{4}\\)', 0), '[()]', '', 'g') END AS release_year, regexp_replace(regexp_replace(title, '\\(\\d{4}\\)', "
-    "'', 'g'), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g') AS tidy_title, count(*) AS n FROM movielens GROUP BY title")
+    "'', 'g'), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g') AS tidy_title, count(*) AS n FROM joined GROUP BY title")
 
 
 @register("fn_year_extract", _TITLES_SQL)
 def fn_year_extract(spark, sf_dir):
     """Release year (first "(dddd)", NULL when absent) and tidy title of
     every distinct title, with its rating count."""
-    ml = sets(spark, sf_dir).movielens
+    ml = sets(spark, sf_dir).joined
     return ml.groupBy("title").agg(F.count(F.lit(1)).alias("n")).select(
         "title", release_year("title").alias("release_year"), tidy_title("title").alias("tidy_title"), "n")
 
@@ -99,10 +99,10 @@ QUERIES["fn_title_tidy"] = fn_year_extract
 
 
 @register("fn_epoch_date", O.with_sets(
-    'SELECT "timestamp", CAST(epoch_ms("timestamp" * 1000) AS DATE) AS rating_date FROM movielens GROUP BY "timestamp"'))
+    'SELECT "timestamp", CAST(epoch_ms("timestamp" * 1000) AS DATE) AS rating_date FROM joined GROUP BY "timestamp"'))
 def fn_epoch_date(spark, sf_dir):
     """Epoch seconds -> UTC calendar date for every distinct timestamp."""
-    ml = sets(spark, sf_dir).movielens
+    ml = sets(spark, sf_dir).joined
     return ml.select("timestamp").distinct().select("timestamp", epoch_to_date("timestamp").alias("rating_date"))
 
 

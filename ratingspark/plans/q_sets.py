@@ -11,17 +11,17 @@ from ratingspark.plans import oracle as O
 from ratingspark.plans.queries import ML, TIDY, _sel, r6, register, sets
 
 
-@register("join_left_dim", O.with_sets(_sel("movielens", ML)))
+@register("join_left_dim", O.with_sets(_sel("joined", ML)))
 def join_left_dim(spark, sf_dir):
     """ratings LEFT JOIN movies (movie table broadcast after a size check)."""
-    return r6(sets(spark, sf_dir).movielens.select(*ML))
+    return r6(sets(spark, sf_dir).joined.select(*ML))
 
 
 @register("split_stratified", O.with_sets(_sel("o_f", ML) + " WHERE _hold"))
 def split_stratified(spark, sf_dir):
     """Rows drawn for the hold-out before the repair."""
     s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.movielens, p=0.1, seed=1,
+    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
                                  key_cols=["userId", "movieId", "rating", "timestamp"])
     return r6(flagged.filter(F.col("_holdout")).select(*ML))
 
@@ -30,28 +30,28 @@ def split_stratified(spark, sf_dir):
 def split_stratified_bucketed(spark, sf_dir):
     """The same draw by the bucketed strategy (cut buckets ranked only)."""
     s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.movielens, p=0.1, seed=1, method="bucketed",
+    flagged = stratified_holdout(s.joined, p=0.1, seed=1, method="bucketed",
                                  key_cols=["userId", "movieId", "rating", "timestamp"])
     return r6(flagged.filter(F.col("_holdout")).select(*ML))
 
 
 @register("split_repair", O.with_sets(_sel("validation", ML)))
 def split_repair(spark, sf_dir):
-    """validation: hold-out rows whose user and movie are known to edx."""
+    """validation: hold-out rows whose user and movie are known to development."""
     return r6(sets(spark, sf_dir).validation.select(*ML))
 
 
-@register("set_union_all", O.with_sets(_sel("edx", ML)))
+@register("set_union_all", O.with_sets(_sel("development", ML)))
 def set_union_all(spark, sf_dir):
-    """edx: non-drawn rows plus the drawn rows put back by the repair."""
-    return r6(sets(spark, sf_dir).edx.select(*ML))
+    """development: non-drawn rows plus the drawn rows put back by the repair."""
+    return r6(sets(spark, sf_dir).development.select(*ML))
 
 
 @register("row_split", O.with_sets(_sel("o_f", ML) + " WHERE NOT _hold"))
 def row_split(spark, sf_dir):
-    """Rows not in the drawn index set (movielens[-test_index, ])."""
+    """Rows not in the drawn index set."""
     s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.movielens, p=0.1, seed=1,
+    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
                                  key_cols=["userId", "movieId", "rating", "timestamp"])
     return r6(flagged.filter(~F.col("_holdout")).select(*ML))
 
@@ -65,7 +65,7 @@ _TEMP = "(SELECT " + ", ".join(f'"{c}"' for c in ML) + " FROM o_f WHERE _hold)"
 def join_semi(spark, sf_dir):
     """temp semi-joined to the drawn-out rows on movie, then on user."""
     s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.movielens, p=0.1, seed=1,
+    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
                                  key_cols=["userId", "movieId", "rating", "timestamp"])
     base = flagged.filter(~F.col("_holdout"))
     temp = flagged.filter(F.col("_holdout")).select(*ML)
@@ -78,7 +78,7 @@ def join_semi(spark, sf_dir):
 def join_anti_all(spark, sf_dir):
     """removed = temp anti-joined to validation on every column, NULL = NULL."""
     s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.movielens, p=0.1, seed=1,
+    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
                                  key_cols=["userId", "movieId", "rating", "timestamp"])
     temp = flagged.filter(F.col("_holdout")).select(*ML)
     return r6(anti_join_all(temp, s.validation.select(*ML)))
@@ -107,11 +107,11 @@ def split_nested_train(spark, sf_dir):
 
 
 @register("tbl_dim", O.with_sets(
-    "SELECT 'edx' AS table_name, count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM edx "
+    "SELECT 'development' AS table_name, count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM development "
     "UNION ALL SELECT 'validation', count(*), CAST(6 AS BIGINT) FROM validation"))
 def tbl_dim(spark, sf_dir):
     s = sets(spark, sf_dir)
-    return A.table_dims({"edx": s.edx, "validation": s.validation})
+    return A.table_dims({"development": s.development, "validation": s.validation})
 
 
 @register("row_head", O.with_sets(

@@ -16,42 +16,42 @@ KEYS = ["userId", "movieId", "rating", "timestamp"]
 
 
 @pytest.fixture(scope="module")
-def movielens(spark):
+def joined(spark):
     r = ratings_from_orders(spark, SF_SMALL)
     m = movies_from_parts(spark, SF_SMALL)
     return r.join(m, "movieId", "left").cache()
 
 
-def test_fixture_counts(movielens):
-    assert movielens.count() == 6000
-    assert movielens.select("userId").distinct().count() == 150
-    assert movielens.select("movieId").distinct().count() == 200
+def test_fixture_counts(joined):
+    assert joined.count() == 6000
+    assert joined.select("userId").distinct().count() == 150
+    assert joined.select("movieId").distinct().count() == 200
 
 
-def test_ranked_equals_bucketed(movielens):
-    a = stratified_holdout(movielens, 0.1, 1, key_cols=KEYS, method="ranked").filter("_holdout").drop("_holdout")
-    b = stratified_holdout(movielens, 0.1, 1, key_cols=KEYS, method="bucketed", hex_digits=2) \
+def test_ranked_equals_bucketed(joined):
+    a = stratified_holdout(joined, 0.1, 1, key_cols=KEYS, method="ranked").filter("_holdout").drop("_holdout")
+    b = stratified_holdout(joined, 0.1, 1, key_cols=KEYS, method="bucketed", hex_digits=2) \
         .filter("_holdout").drop("_holdout")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_quota_per_stratum(movielens):
+def test_quota_per_stratum(joined):
     import math
-    flagged = stratified_holdout(movielens, 0.1, 1, key_cols=KEYS)
+    flagged = stratified_holdout(joined, 0.1, 1, key_cols=KEYS)
     # strata of this fixture: quartile breaks 0.5 / 1.5 / 3 / 4 / 5 or similar
     from ratingspark.operators.split import rating_breaks, stratum_expr
-    br = rating_breaks(movielens)
+    br = rating_breaks(joined)
     per = flagged.withColumn("s", stratum_expr("rating", br)).groupBy("s").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("_holdout").cast("int")).alias("k")).collect()
     for r in per:
         assert r["k"] == math.ceil(0.1 * r["n"])
 
 
-def test_split_invariants(movielens):
-    train, test = holdout_split(movielens, 0.1, 1, key_cols=KEYS)
-    cols = movielens.columns
+def test_split_invariants(joined):
+    train, test = holdout_split(joined, 0.1, 1, key_cols=KEYS)
+    cols = joined.columns
     union = train.select(*cols).unionByName(test.select(*cols))
-    assert union.exceptAll(movielens).count() == 0 and movielens.exceptAll(union).count() == 0
+    assert union.exceptAll(joined).count() == 0 and joined.exceptAll(union).count() == 0
     assert test.join(train.select("movieId").distinct(), "movieId", "left_anti").count() == 0
     assert test.join(train.select("userId").distinct(), "userId", "left_anti").count() == 0
 
