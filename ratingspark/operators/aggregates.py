@@ -28,9 +28,10 @@ APPROX_ACCURACY = 1_000_000
 
 
 def quantile_expr(df: DataFrame, col: str, probs: list[float],
-                  exact_limit: int = EXACT_QUANTILE_DISTINCT) -> Column:
+                  exact_limit: int | None = None) -> Column:
     """Array of quantiles of ``col`` at ``probs`` (linear interpolation when
     exact)."""
+    exact_limit = EXACT_QUANTILE_DISTINCT if exact_limit is None else exact_limit
     nd = df.agg(F.approx_count_distinct(col)).first()[0]
     if nd <= exact_limit:
         return F.percentile(F.col(col), probs)

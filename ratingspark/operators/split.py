@@ -48,9 +48,10 @@ def rating_breaks(df: DataFrame, y: str = "rating") -> list[float]:
     return list(df.agg(quantile_expr(df, y, QUARTILE_PROBS).alias("q")).first()["q"])
 
 
-def value_counts(df: DataFrame, y: str, limit: int = VALUE_TABLE_LIMIT):
+def value_counts(df: DataFrame, y: str, limit: int | None = None):
     """[(value, count)] of ``y`` when it has at most ``limit`` distinct
     values (one partial + final aggregate), else None."""
+    limit = VALUE_TABLE_LIMIT if limit is None else limit
     rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
     return None if len(rows) > limit else [(r[0], r[1]) for r in rows]
 
