@@ -44,3 +44,31 @@ def test_als_with_ids_beyond_int(spark):
     scored = model.transform(apply_ids(apply_ids(probe, "userId", umap), "movieId", imap))
     out = {r["userId"]: r["prediction"] for r in restore_ids(scored, ["userId", "movieId"]).collect()}
     assert not np.isnan(out[big + 1]) and np.isnan(out[7])
+
+
+def test_bias_chain_without_broadcast_same_result(spark):
+    from ratingspark.operators.bias import fit_chain, grid_rmse, predict_chain
+    rows = [(u % 50, (u * 7) % 40, float(1 + (u * 3) % 10) / 2, "19%02d" % (u % 9) if u % 5 else None)
+            for u in range(2000)]
+    df = spark.createDataFrame(rows, "userId long, movieId long, rating double, release_year string")
+    keys = ["movieId", "userId", "release_year"]
+    grid = [1.0, 3.0]
+    small = fit_chain(df, keys, grid, base=2.7)
+    big = fit_chain(df, keys, grid, base=2.7, max_broadcast_bytes=1)   # every table over the bound
+    # no explicit hint past the bound (Spark's own size threshold may still
+    # broadcast tables this small); the results must not depend on it
+    pb = predict_chain(df, big, base=2.7, clamp=True)
+    a = {r["param"]: r["rmse"] for r in grid_rmse(predict_chain(df, small, base=2.7, clamp=True), grid).collect()}
+    b = {r["param"]: r["rmse"] for r in grid_rmse(pb, grid).collect()}
+    assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_svd_without_item_broadcast_same_sigma(spark, monkeypatch):
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(4)
+    rows = [(int(u), int(i), float(rng.normal())) for u in range(60) for i in range(40) if rng.random() < 0.4]
+    cells = spark.createDataFrame(rows, "userId long, movieId long, res double")
+    a = SV.truncated_svd(cells, rank=3, passes=5, oversample=4)
+    monkeypatch.setattr(SV, "DEFAULT_BROADCAST_BYTES", 1)
+    b = SV.truncated_svd(cells, rank=3, passes=5, oversample=4)
+    assert a.sigma == pytest.approx(b.sigma, rel=1e-9)
