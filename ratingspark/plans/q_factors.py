@@ -113,3 +113,15 @@ def mdl_mf_predict(spark, sf_dir):
     model = FX.mf_fit(s)[1]
     out = A.rmse(FX.mf_test_predictions(s))
     return r6(out.select(F.lit("mf").alias("model"), F.lit(float(model.rank)).alias("param"), "rmse", "n", "n_missing"))
+
+
+@register("mdl_ladder_full")
+def mdl_ladder_full(spark, sf_dir):
+    """Every model's test RMSE in one table: the bias ladder, + SVD, and MF."""
+    from ratingspark.plans.queries import QUERIES
+    rows = [QUERIES["mdl_ladder"](spark, sf_dir).drop("below_goal"),
+            mdl_svd_predict(spark, sf_dir), mdl_mf_predict(spark, sf_dir)]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.withColumn("below_goal", F.col("rmse") < F.lit(0.8649))

@@ -13,7 +13,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = ["part", "orders", "lineitem", "events"]
-SLOW = {"tune_mf", "mdl_mf", "mdl_mf_predict", "mdl_svd_fit", "tune_svd", "join_factor_dot",
+SLOW = {"tune_mf", "mdl_mf", "mdl_mf_predict", "mdl_svd_fit", "tune_svd", "join_factor_dot", "mdl_ladder_full",
         "mdl_svd_predict", "mdl_svd_train", "interact_view_final"}
 
 
