@@ -17,7 +17,8 @@ Two physical strategies give the same rows:
   rows), a running count finds the one bucket per stratum where the
   quota runs out, and only rows of those cut buckets are ranked. Every
   other row is decided by a broadcast lookup, so no task sees more than
-  one bucket's share of a stratum.
+  one bucket's share of a stratum. The prefix width follows the largest
+  stratum (about two million rows per cut bucket, at most five digits).
 
 ``auto`` picks ``bucketed`` once the largest stratum passes
 ``rank_limit`` rows.
@@ -108,9 +109,22 @@ def hash_expr(key_cols: list[str], seed, y: str = "rating"):
     return F.md5(F.concat_ws("|", *parts))
 
 
+CUT_BUCKET_ROWS = 2_000_000   # target rows ranked in one cut bucket
+MAX_HEX_DIGITS = 5            # bucket table <= strata x 16**5 rows
+
+
+def bucket_digits(max_stratum: int) -> int:
+    """Hash-prefix width so a cut bucket holds about CUT_BUCKET_ROWS rows of
+    the largest stratum (2 to 5 hex digits: 256 to 1,048,576 buckets)."""
+    d = 2
+    while d < MAX_HEX_DIGITS and max_stratum / 16 ** d > CUT_BUCKET_ROWS:
+        d += 1
+    return d
+
+
 def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
                        key_cols: list[str] | None = None, method: str = "auto",
-                       hex_digits: int = 4, rank_limit: int = 5_000_000,
+                       hex_digits: int | None = None, rank_limit: int = 5_000_000,
                        flag: str = "_holdout") -> DataFrame:
     """Add boolean column ``flag``: True for the drawn hold-out rows."""
     key_cols = key_cols or ["userId", "movieId", y, "timestamp"]
@@ -137,6 +151,8 @@ def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
         return out.drop("_s", "_h")
     if method != "bucketed":
         raise ValueError(method)
+    if hex_digits is None:
+        hex_digits = bucket_digits(max(counts.values()))
     hb = h.withColumn("_b", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("int"))
     bucket_counts = hb.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wb = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
