@@ -99,3 +99,13 @@ def test_breaks_from_value_table_equal_percentile(spark):
         df = spark.createDataFrame([(v,) for v in vals], "rating double")
         exact = df.agg(F.percentile("rating", QUARTILE_PROBS)).first()[0]
         assert breaks_from_counts(value_counts(df, "rating")) == pytest.approx(exact, abs=1e-12)
+
+
+def test_bucket_width_follows_stratum_size():
+    from ratingspark.operators.split import CUT_BUCKET_ROWS, bucket_digits
+    assert bucket_digits(10_000) == 2
+    assert bucket_digits(10**9) == 3
+    for n in (10**8, 10**10, 7 * 10**11):
+        d = bucket_digits(n)
+        assert d == 5 or n / 16 ** d <= CUT_BUCKET_ROWS
+    assert bucket_digits(10**14) == 5          # table stays <= strata x 16**5 rows
