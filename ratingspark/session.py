@@ -25,8 +25,13 @@ BASE_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "ratingspark", extra: dict | None = None) -> SparkSession:
-    master = master or os.environ.get("SPARK_MASTER", "local[8]")
-    b = SparkSession.builder.master(master).appName(app_name)
+    # Only an explicit master is set here: under spark-submit the cluster
+    # master comes from the submit arguments (a master set in code would
+    # override it), and a plain `python` launch defaults to local[*].
+    master = master or os.environ.get("SPARK_MASTER")
+    b = SparkSession.builder.appName(app_name)
+    if master:
+        b = b.master(master)
     conf = dict(BASE_CONF)
     conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
