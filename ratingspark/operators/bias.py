@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingspark.functions.columns import clamp as clamp_col
-from ratingspark.operators.joins import broadcast_checked, left_join
+from ratingspark.operators.joins import left_join, size_checked
 
 NULLSAFE_KEYS = frozenset({"release_year"})
 
@@ -49,23 +49,36 @@ class BiasChain:
     lambdas: list[float]
     tables: list[DataFrame] = field(default_factory=list)
     nullsafe: frozenset = NULLSAFE_KEYS
+    small: list[bool] = field(default_factory=list)   # broadcast after the size check
 
     @property
     def m(self) -> int:
         return len(self.lambdas)
 
 
-def _attach(df: DataFrame, chain: BiasChain, upto: int, acc_prefix: str) -> DataFrame:
-    """Join stage tables 0..upto-1 to ``df`` and fold their biases into the
-    running sums ``acc_prefix{k}`` (the joined columns are dropped at once,
-    so the row never carries more than m extra columns)."""
-    for j in range(upto):
+def _attach(df: DataFrame, chain: BiasChain, upto: int, acc_prefix: str, init) -> DataFrame:
+    """Join stage tables 0..upto-1 to ``df`` and fold their biases into
+    running sums ``acc_prefix{k}`` that start at ``init`` (the joined columns
+    are dropped at once, so the row never carries more than m extra columns).
+
+    Tables too large to broadcast are joined first, while the row is still
+    narrow: a shuffle join then moves the keys and the residual, not m
+    accumulated columns. With every table broadcast the order is the stage
+    order.
+    """
+    m = chain.m
+    small = chain.small or [True] * len(chain.tables)
+    order = [j for j in range(upto) if not small[j]] + [j for j in range(upto) if small[j]]
+    if not order:
+        return df.select(*df.columns, *[init.alias(f"{acc_prefix}{k}") for k in range(m)])
+    for n_done, j in enumerate(order):
         key = chain.keys[j]
-        t = chain.tables[j].select(key, *[F.col(f"b_{k}").alias(f"_t{k}") for k in range(chain.m)])
+        t = chain.tables[j].select(key, *[F.col(f"b_{k}").alias(f"_t{k}") for k in range(m)])
         df = left_join(df, t, key, nullsafe=key in chain.nullsafe)
+        prev = (lambda k: init) if n_done == 0 else (lambda k: F.col(f"{acc_prefix}{k}"))
         df = df.select(
             *[c for c in df.columns if not c.startswith("_t") and not c.startswith(acc_prefix)],
-            *[(F.col(f"{acc_prefix}{k}") + F.col(f"_t{k}")).alias(f"{acc_prefix}{k}") for k in range(chain.m)],
+            *[(prev(k) + F.col(f"_t{k}")).alias(f"{acc_prefix}{k}") for k in range(m)],
         )
     return df
 
@@ -90,8 +103,7 @@ def fit_chain(frames, keys: list[str], lambdas: list[float], base="mu", rating:
             table = agg.select(key, *[(F.col("_s") / (F.lit(lam) + F.col("n"))).alias(f"b_{k}")
                                       for k, lam in enumerate(chain.lambdas)], "n")
         else:
-            df = df.select(*df.columns, *[F.lit(0.0).alias(f"_a{k}") for k in range(m)])
-            df = _attach(df, chain, j, "_a")
+            df = _attach(df, chain, j, "_a", F.lit(0.0))
             agg = df.groupBy(key).agg(
                 *[F.sum(F.col("_r0") - F.col(f"_a{k}")).alias(f"_s{k}") for k in range(m)],
                 F.count(F.lit(1)).alias("n"))
@@ -100,7 +112,9 @@ def fit_chain(frames, keys: list[str], lambdas: list[float], base="mu", rating:
         kw = {"materialize": "checkpoint"}
         if max_broadcast_bytes is not None:
             kw["max_bytes"] = max_broadcast_bytes
-        chain.tables.append(broadcast_checked(table, **kw))
+        checked, small = size_checked(table, **kw)
+        chain.tables.append(checked)
+        chain.small.append(small)
     return chain
 
 
@@ -109,8 +123,7 @@ def predict_chain(df: DataFrame, chain: BiasChain, base="mu", prefix: str = "pre
     """Add ``pred_0..pred_{m-1}`` = base + sum of stage biases. A row whose
     key is missing from a stage table gets NULL, like arithmetic on NA."""
     m = chain.m
-    out = df.select(*df.columns, *[_col(base).cast("double").alias(f"{prefix}{k}") for k in range(m)])
-    out = _attach(out, chain, len(chain.keys), prefix)
+    out = _attach(df, chain, len(chain.keys), prefix, _col(base).cast("double"))
     if clamp:
         out = out.select(*[c for c in out.columns if not c.startswith(prefix)],
                          *[clamp_col(f"{prefix}{k}").alias(f"{prefix}{k}") for k in range(m)])

@@ -28,16 +28,17 @@ def _row_width(schema: T.StructType) -> int:
     return width
 
 
-def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      max_rows: int | None = None, materialize: str = "persist") -> DataFrame:
-    """Materialize ``df`` (it is about to be joined, usually more than once),
-    measure its row count and return a broadcast-hinted frame only when the
-    estimated size is under ``max_bytes``; otherwise the same frame without a
-    hint, so the planner uses a shuffle join.
+def size_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 max_rows: int | None = None, materialize: str = "persist") -> tuple[DataFrame, bool]:
+    """Materialize ``df`` (it is about to be joined, usually more than once)
+    and measure its row count. Returns (frame, small): the frame carries a
+    broadcast hint only when its estimated size is under ``max_bytes``;
+    otherwise the planner uses a shuffle join.
 
     ``materialize='checkpoint'`` writes a reliable checkpoint to the shared
-    checkpoint folder, which also cuts the lineage: later plans that join the
-    table see a scan, not the plan that produced it.
+    checkpoint folder, ``'table'`` a parquet table there; both also cut the
+    lineage, so later plans that join the table see a scan, not the plan that
+    produced it.
     """
     if materialize in ("checkpoint", "table"):
         from ratingspark.session import cut_lineage
@@ -48,7 +49,14 @@ def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
     limit = max_bytes // _row_width(df.schema)
     if max_rows is not None:
         limit = min(limit, max_rows)
-    return F.broadcast(df) if n <= limit else df
+    small = n <= limit
+    return (F.broadcast(df) if small else df), small
+
+
+def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      max_rows: int | None = None, materialize: str = "persist") -> DataFrame:
+    """``size_checked`` without the flag."""
+    return size_checked(df, max_bytes, max_rows, materialize)[0]
 
 
 def left_join(df: DataFrame, table: DataFrame, key: str, nullsafe: bool = False) -> DataFrame:

@@ -72,3 +72,23 @@ def test_svd_without_item_broadcast_same_sigma(spark, monkeypatch):
     monkeypatch.setattr(SV, "DEFAULT_BROADCAST_BYTES", 1)
     b = SV.truncated_svd(cells, rank=3, passes=5, oversample=4)
     assert a.sigma == pytest.approx(b.sigma, rel=1e-9)
+
+
+def test_large_stage_table_joined_while_row_is_narrow(spark):
+    """A stage table over the broadcast bound is joined before the broadcast
+    ones, so the shuffle join moves narrow rows; the sums do not change."""
+    from ratingspark.operators.bias import fit_chain, predict_chain
+    rows = [(u % 40, (u * 7) % 30, float(1 + (u * 3) % 10) / 2) for u in range(1500)]
+    df = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    chain = fit_chain(df, ["movieId", "userId"], [1.0, 2.0], base=2.5)
+    ref = {(r.userId, r.movieId): (r.pred_0, r.pred_1) for r in predict_chain(df, chain, base=2.5).collect()}
+    chain.small = [True, False]                       # pretend the user table is large
+    out = predict_chain(df, chain, base=2.5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    user_join = plan.index("(userId#")
+    movie_join = plan.index("(movieId#")
+    assert movie_join < user_join                     # user join sits deeper: applied first
+    got = {(r.userId, r.movieId): (r.pred_0, r.pred_1) for r in out.collect()}
+    assert got.keys() == ref.keys()
+    for k in ref:
+        assert got[k] == pytest.approx(ref[k], rel=1e-12)
