@@ -122,3 +122,12 @@ def test_fixture_svd_against_numpy(spark):
     M[cells.userId.map(u), cells.movieId.map(it)] = cells.res
     sv = np.linalg.svd(M, compute_uv=False)
     assert fit.sigma == pytest.approx(list(sv[:5]), rel=2e-3)
+
+
+def test_dense_index_more_partitions_than_ids(spark):
+    df = spark.createDataFrame([(x,) for x in [9, 4, 4, 7, 1]], "id long")
+    got = {r["id"]: r["index"] for r in dense_index(df, "id", partitions=50).collect()}
+    assert got == {1: 1, 4: 2, 7: 3, 9: 4}
+    big = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("id"))
+    codes = dense_index(big, "id", partitions=13).orderBy("id").collect()
+    assert [r["index"] for r in codes] == list(range(1, 5001))
