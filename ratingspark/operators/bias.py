@@ -151,11 +151,23 @@ def grid_rmse(pred: DataFrame, lambdas: list[float], rating: str = "rating", pre
     return wide.select(F.inline(rows))
 
 
+GRID_CHUNK = 64   # penalties per job: bounds the sum columns per aggregate and per row
+
+
 def tune_chain(train, score: DataFrame, keys: list[str], lambdas: list[float], train_base="mu",
                score_base="mu", clamp: bool = False, rating: str = "rating",
-               nullsafe=NULLSAFE_KEYS) -> DataFrame:
+               nullsafe=NULLSAFE_KEYS, chunk: int = GRID_CHUNK) -> DataFrame:
     """Fit the chain for every penalty on ``train`` and score it on ``score``:
-    the tuning curve (param, rmse, n, n_pred), one row per penalty."""
+    the tuning curve (param, rmse, n, n_pred), one row per penalty. Grids
+    longer than ``chunk`` are fitted chunk by chunk and the curves unioned."""
+    lambdas = list(lambdas)
+    if len(lambdas) > chunk:
+        parts = [tune_chain(train, score, keys, lambdas[i:i + chunk], train_base, score_base, clamp, rating,
+                            nullsafe, chunk) for i in range(0, len(lambdas), chunk)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     chain = fit_chain(train, keys, lambdas, base=train_base, rating=rating, nullsafe=nullsafe)
     pred = predict_chain(score, chain, base=score_base, clamp=clamp)
     return grid_rmse(pred, lambdas, rating=rating)

@@ -115,3 +115,15 @@ def test_planted_effects_recovered(spark):
     r_both = grid_rmse(predict_chain(df, chain, base=mu), [1.0]).first()["rmse"]
     assert r_naive > r_item > r_both
     assert r_both < 0.4
+
+
+def test_long_grid_is_chunked_with_same_values(spark):
+    rows = [(u, m, float((u * 7 + m * 3) % 10) / 2 + 0.5) for u in range(12) for m in range(9) if (u + m) % 3]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double")
+    grid = param_grid(0.0, 9.9, 0.1)                      # 100 penalties -> chunks of 64 and 36
+    assert len(grid) == 100
+    curve = {r["param"]: r["rmse"] for r in tune_chain(df, df, ["movieId", "userId"], grid, 3.0, 3.0).collect()}
+    assert len(curve) == 100
+    for lam in (grid[0], grid[63], grid[64], grid[99]):
+        one = tune_chain(df, df, ["movieId", "userId"], [lam], 3.0, 3.0).first()["rmse"]
+        assert curve[lam] == pytest.approx(one, rel=1e-12)
