@@ -35,6 +35,7 @@ def agg_group_mean(spark, sf_dir):
 @register("agg_group_mean_user", O.with_sets(
     "SELECT userId, round(user_avg_rating, 6) AS user_avg_rating FROM " + _USER_MEANS + " q"))
 def agg_group_mean_user(spark, sf_dir):
+    """Mean rating per user."""
     return r6(_user_means(sets(spark, sf_dir)))
 
 
@@ -90,11 +91,13 @@ def agg_hist(spark, sf_dir):
 
 @register("agg_hist_movie", _hist_sql(_MOVIE_MEANS, "movie_avg_rating", HIST_BINS_MEANS))
 def agg_hist_movie(spark, sf_dir):
+    """Histogram of movie mean ratings, 50 centred right-closed bins."""
     return r6(A.histogram(_movie_means(sets(spark, sf_dir)), "movie_avg_rating", HIST_BINS_MEANS))
 
 
 @register("agg_hist_user", _hist_sql(_USER_MEANS, "user_avg_rating", HIST_BINS_MEANS))
 def agg_hist_user(spark, sf_dir):
+    """Histogram of user mean ratings, 50 centred right-closed bins."""
     return r6(A.histogram(_user_means(sets(spark, sf_dir)), "user_avg_rating", HIST_BINS_MEANS))
 
 
@@ -120,4 +123,5 @@ def agg_qq(spark, sf_dir):
 
 @register("agg_qq_user", _qq_sql(_USER_MEANS, "user_avg_rating"))
 def agg_qq_user(spark, sf_dir):
+    """Normal QQ points of user means on a 100-point probability grid."""
     return r6(A.qq_points(_user_means(sets(spark, sf_dir)), "user_avg_rating", QQ_POINTS))

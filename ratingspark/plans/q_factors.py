@@ -29,6 +29,7 @@ def idx_factor(spark, sf_dir):
 @register("idx_factor_user", O.with_sets(
     "SELECT userId, dense_rank() OVER (ORDER BY userId) AS user_index FROM (SELECT DISTINCT userId FROM train_set)"))
 def idx_factor_user(spark, sf_dir):
+    """1-based dense code of sorted user ids, computed distributed."""
     return dense_index(sets(spark, sf_dir).train_set, "userId", "user_index")
 
 
@@ -109,6 +110,7 @@ def mdl_mf(spark, sf_dir):
 
 @register("mdl_mf_predict")
 def mdl_mf_predict(spark, sf_dir):
+    """RMSE of the tuned factorisation on test_set (unclamped)."""
     s = sets(spark, sf_dir)
     model = FX.mf_fit(s)[1]
     out = A.rmse(FX.mf_test_predictions(s))

@@ -51,6 +51,7 @@ def snk_table(spark, sf_dir):
 
 @register("src_table", O.with_sets("SELECT " + ", ".join(TIDY) + " FROM test_set"))
 def src_table(spark, sf_dir):
+    """test_set persisted as parquet and reloaded."""
     path = IO.scratch_path(spark, "table")
     IO.write_table(sets(spark, sf_dir).test_set, path)
     return r6(IO.read_table(spark, path))

@@ -30,6 +30,7 @@ def _scored(spark_pred, model: str, param: float):
 
 @register("agg_mean", O.with_sets("SELECT round(mu, 6) AS mu FROM mu_t"))
 def agg_mean(spark, sf_dir):
+    """Global mean rating of training_set."""
     return r6(A.global_mean(sets(spark, sf_dir).training_set))
 
 
@@ -38,6 +39,7 @@ def agg_mean(spark, sf_dir):
     "round(sqrt(avg((t.rating - m.mu) * (t.rating - m.mu))), 6) AS rmse, count(*) AS n, "
     "CAST(0 AS BIGINT) AS n_missing FROM test_set t CROSS JOIN mu_t m"))
 def mdl_naive(spark, sf_dir):
+    """Predict the global mean everywhere, RMSE on test_set."""
     s = sets(spark, sf_dir)
     out = A.rmse(M.naive_predictions(s))
     return r6(out.select(F.lit("naive").alias("model"), F.lit(None).cast("double").alias("param"),
@@ -75,6 +77,7 @@ def agg_shrunk_chain(spark, sf_dir):
     rmse_select(chain_pred("b", MU, with_base("test_set"), False), "bias", M.LAMBDA_BIAS),
     _mu_chain_sql("b", M.LAMBDA_BIAS)))
 def mdl_bias(spark, sf_dir):
+    """Movie + user bias model (lambda 4.85), RMSE on test_set."""
     s = sets(spark, sf_dir)
     return _scored(M.bias_predictions(s, M.LAMBDA_BIAS, clamp=False), "bias", M.LAMBDA_BIAS)
 
@@ -83,6 +86,7 @@ def mdl_bias(spark, sf_dir):
     rmse_select(chain_pred("b", MU, with_base("test_set"), True), "bias_clamped", M.LAMBDA_BIAS_CLAMPED),
     _mu_chain_sql("b", M.LAMBDA_BIAS_CLAMPED)))
 def mdl_bias_clamped(spark, sf_dir):
+    """Movie + user bias model clamped to [0.5, 5] (lambda 4.55), RMSE on test_set."""
     s = sets(spark, sf_dir)
     return _scored(M.bias_predictions(s, M.LAMBDA_BIAS_CLAMPED, clamp=True), "bias_clamped", M.LAMBDA_BIAS_CLAMPED)
 
@@ -149,6 +153,7 @@ def tune_bias(spark, sf_dir):
 
 @register("tune_bias_clamped", _grid_sql("g", M.GRID_BIAS, MU, "train_set", "cv_set", True))
 def tune_bias_clamped(spark, sf_dir):
+    """41 penalties, clamped predictions, in one job: (param, rmse, n, n_pred) on cv_set."""
     return r6(M.tune_bias_curve(sets(spark, sf_dir), clamp=True))
 
 
@@ -186,6 +191,7 @@ def tune_time(spark, sf_dir):
     _time_sql_ctes(M.LAMBDA_BIAS_CLAMPED, "training_set", "test_set") + ",\n"
     + chain_ctes("t", [M.LAMBDA_TIME], TK, ["tr", "tr"])))
 def mdl_time(spark, sf_dir):
+    """Clamped baseline + release-year and rating-month biases (lambda_t 12.5), RMSE on test_set."""
     s = sets(spark, sf_dir)
     return _scored(M.time_predictions(s), "bias_time", M.LAMBDA_TIME)
 
@@ -236,6 +242,7 @@ _SYM_FIT = _sym_ctes("s", [M.LAMBDA_SYM], ["training_set", "training_set", "trai
     rmse_select(chain_pred("s", ALL, with_base("test_set", month=True), True), "bias_time_sym", M.LAMBDA_SYM),
     _SYM_FIT))
 def mdl_sym(spark, sf_dir):
+    """One penalty (4.75) for movie, user, release-year and month biases, clamped, RMSE on test_set."""
     s = sets(spark, sf_dir)
     return _scored(M.sym_predictions(s), "bias_time_sym", M.LAMBDA_SYM)
 
@@ -268,6 +275,7 @@ def res_baseline(spark, sf_dir):
     "SELECT release_year, round(avg(rating - baseline_pred), 6) AS avg_res, count(*) AS n FROM tt GROUP BY release_year",
     _BASE_SQL))
 def agg_resid_year(spark, sf_dir):
+    """Mean residual of the clamped baseline per release year (NULL year is a group)."""
     s = sets(spark, sf_dir)
     base = M.with_baseline(s, s.training_set)
     return r6(A.mean_by(base, "release_year", F.col("rating") - F.col("baseline_pred")))
@@ -277,6 +285,7 @@ def agg_resid_year(spark, sf_dir):
     "SELECT rating_month, round(avg(rating - baseline_pred), 6) AS avg_res, count(*) AS n FROM tt GROUP BY rating_month",
     _BASE_SQL))
 def agg_resid_month(spark, sf_dir):
+    """Mean residual of the clamped baseline per rounded rating month."""
     s = sets(spark, sf_dir)
     base = M.with_month(M.with_baseline(s, s.training_set))
     return r6(A.mean_by(base, "rating_month", F.col("rating") - F.col("baseline_pred")))

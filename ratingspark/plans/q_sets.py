@@ -92,6 +92,7 @@ def tidy_training_set(spark, sf_dir):
 
 @register("tidy_test_set", O.with_sets(_sel("test_set", TIDY)))
 def tidy_test_set(spark, sf_dir):
+    """test_set: the tidied validation rows."""
     return r6(sets(spark, sf_dir).test_set)
 
 
@@ -103,6 +104,7 @@ def split_nested(spark, sf_dir):
 
 @register("split_nested_train", O.with_sets(_sel("train_set", TIDY)))
 def split_nested_train(spark, sf_dir):
+    """train_set: training_set minus the inner hold-out, repaired."""
     return r6(sets(spark, sf_dir).train_set)
 
 
@@ -110,6 +112,7 @@ def split_nested_train(spark, sf_dir):
     "SELECT 'development' AS table_name, count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols FROM development "
     "UNION ALL SELECT 'validation', count(*), CAST(6 AS BIGINT) FROM validation"))
 def tbl_dim(spark, sf_dir):
+    """Row and column counts of development and validation, stacked."""
     s = sets(spark, sf_dir)
     return A.table_dims({"development": s.development, "validation": s.validation})
 
