@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ratingspark.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ["part", "orders", "lineitem", "events"]
@@ -37,14 +38,14 @@ def con():
     return c
 
 
-ORACLES = E.oracle_sql()
+ORACLES = registry.oracle_sql()
 TYPES = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
          "DateType": "DATE", "BooleanType": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     got = _rows([tuple(r) for r in df.collect()], df.columns)
     cur = con.execute(ORACLES[name])
     cols = [d[0] for d in cur.description]
@@ -56,7 +57,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_iterative():
-    no_oracle = set(E.queries()) - set(ORACLES)
+    no_oracle = set(registry.queries()) - set(ORACLES)
     assert no_oracle <= SLOW
 
 
@@ -67,5 +68,5 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", ["mdl_svd_predict", "mdl_mf_predict", "mdl_ladder", "snk_metric"])
 def test_iterative_queries_run(spark, name):
-    rows = E.queries()[name](spark, SF_SMALL).collect()
+    rows = registry.queries()[name](spark, SF_SMALL).collect()
     assert rows and all(r["rmse"] is not None for r in rows)
