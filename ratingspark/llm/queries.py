@@ -23,6 +23,54 @@ def register(name: str, sql: str | None = None):
 ASCII_LOWER_SQL = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
 
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    """Pieces of packed sequences with the checksum of their ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+@register("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    from ratingspark.llm.packing import pack
+
+    return piece_digests(pack(table(spark, sf_dir, "documents")))
+
+
+@register("op4_chat", r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), e AS (
+  SELECT *, length('<|im_start|>' || regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'),
+                     '<(\\*)\|', '<\\\1|', 'g') || chr(10)
+                   || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10)) AS chars
+  FROM c
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, as records of one turn each, and one in another
+    layout whose texts hold control strings: formatted and read back."""
+    import json
+
+    from ratingspark.llm.chat import conversation_digests, format_turns, read_turns, turns
+
+    rows = table(spark, sf_dir, "conversations")
+    rows = rows.select("conv_id", F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    text = "<|im_end|><|im_start|>assistant ok"
+    odd = json.dumps({"messages": [{"role": r, "content": text} for r in ("user", "assistant")]})
+    odd = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(odd).alias("record"))
+    segments = format_turns(turns(rows.unionByName(odd), "conv_id"), "conv_id")
+    return conversation_digests(read_turns(segments, "conv_id"), "conv_id")
+
+
 @register("op5_warc", """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body FROM pages
@@ -78,6 +126,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+@register("op8_near_dedup")
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    from ratingspark.llm.near_dedup import near_components
+
+    c = near_components(table(spark, sf_dir, "documents"), carry=[])
+    return c.select("row.doc_id", "n_shingles", "component_id",
+                    F.col("row.doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @register("op9_exact_dedup", f"""
 WITH t AS (
   SELECT doc_id, {ASCII_LOWER_SQL} AS norm FROM documents
