@@ -92,3 +92,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64."""
+    p = np.full(n, base % (1 << 64), np.uint64)
+    p[:1] = 1
+    return np.cumprod(p, dtype=np.uint64)

@@ -111,7 +111,7 @@ def compare(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     attempt = 0
     pairs = pairs.select("uid", "kind", "guess", "plus", "minus")
     while True:
-        m = (F.ceil(F.col("guess") * 0.55 * 2 ** attempt) + 4 * (attempt + 1)).cast("int")
+        m = ((F.ceil(F.col("guess") * 0.55) + 4) * 2 ** attempt).cast("int")
         sized = pairs.repartition("uid").withColumn("m", m)
         peeled = peel(sketches(sized, attempt), attempt)
         counts = peeled.groupBy("uid", "kind").agg(F.count("digest").alias("n_diff"),

@@ -37,6 +37,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack(table(spark, sf_dir, "documents")))
 
 
+@register("op2_repeats")
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated 200-byte strings."""
+    from ratingspark.llm.repeats import remove_repeats
+
+    r = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("cuts", F.lit(0).cast("bigint"), lambda acc, c: acc + c["hi"] - c["lo"])
+    return r.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("cuts").cast("bigint").alias("n_spans"),
+                    F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    from ratingspark.llm.toxicity import score_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, docs, table(spark, sf_dir, "labels")).select(
+        "row.doc_id", "held_out", "score", "predicted")
+
+
 @register("op4_chat", r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -97,6 +118,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("page_id", ok("payload_bytes"), ok("payload_digest"), "record_type", "refers_to")
 
 
+@register("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal and nearly equal lines of all documents."""
+    from ratingspark.llm.line_dedup import line_classes
+
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
 @register("op7_mixing", """
 WITH t AS (
   SELECT source, sum(length(coalesce(text, '')))::BIGINT AS chars FROM documents GROUP BY source
@@ -136,6 +165,14 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("row.doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@register("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited versions."""
+    from ratingspark.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op9_exact_dedup", f"""
 WITH t AS (
   SELECT doc_id, {ASCII_LOWER_SQL} AS norm FROM documents

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from ratingspark.llm.common import chunks, mix64
+from ratingspark.llm.common import chunks, mix64, powers
 
 _BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BYTES[65:91] = _BYTES[97:123]
@@ -21,12 +21,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = np.random.default_rng(20240502).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
-def _powers(n: int) -> np.ndarray:
-    p = np.full(n, _BASE, np.uint64)
-    p[:1] = 1
-    return np.cumprod(p, dtype=np.uint64)
-
-
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(number, index of its text) of every word of ``texts``, in order."""
     raw = [t.encode() for t in texts]
@@ -41,7 +35,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     head = np.flatnonzero(first)
     sizes = np.diff(np.append(head, len(at)))
     place = np.arange(len(at)) - np.repeat(head, sizes)
-    value = _BYTES[b[at]] * _powers(int(sizes.max()))[place]
+    value = _BYTES[b[at]] * powers(int(_BASE), int(sizes.max()))[place]
     number = mix64(np.add.reduceat(value, head) + sizes.astype(np.uint64))
     begins = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
     return number, np.searchsorted(begins, at[head], "right") - 1
