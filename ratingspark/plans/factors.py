@@ -22,33 +22,40 @@ from ratingspark.operators.mf import apply_ids, int_ids, restore_ids, tune_als
 from ratingspark.operators.svd import SVDFit, factor_dot, truncated_svd
 from ratingspark.plans import models as M
 from ratingspark.plans.pipeline import RatingSets
+from ratingspark.session import cut_lineage
 
 # The factor counts tried by the analysis, and the MF grid.
 SVD_RANKS = [50, 55, 60]
-SVD_PASSES = 10
 MF_RANKS = (10, 20)
 MF_REG = 0.01
 MF_FOLDS = 5
 
 
-def residual_cells(s: RatingSets) -> DataFrame:
-    """(userId, movieId, res) with duplicate cells summed."""
-    tm = M.with_bt(s, s.train_set).withColumn("res", F.col("rating") - F.col("b_t_pred"))
+def residual_cells(s: RatingSets, lam: float = M.LAMBDA_SYM, on: str = "train") -> DataFrame:
+    """(userId, movieId, res) with duplicate cells summed, of train_set (or,
+    ``on='training'``, of training_set)."""
+    rows = {"train": s.train_set, "training": s.training_set}[on]
+    tm = M.with_bt(s, rows, lam).withColumn("res", F.col("rating") - F.col("b_t_pred"))
     return sum_duplicates(tm, ["userId", "movieId"], "res")
 
 
-def svd_fit(s: RatingSets, rank: int = max(SVD_RANKS), passes: int = SVD_PASSES) -> SVDFit:
-    return M._memo(s, ("svd", rank, passes), lambda: truncated_svd(residual_cells(s), rank, passes=passes))
+def svd_fit(s: RatingSets, rank: int = max(SVD_RANKS), lam: float = M.LAMBDA_SYM, on: str = "train") -> SVDFit:
+    return M._memo(s, ("svd", rank, lam, on), lambda: truncated_svd(residual_cells(s, lam, on), rank))
 
 
-def cv_residual_preds(s: RatingSets, ranks=SVD_RANKS) -> DataFrame:
-    cv = M.with_bt(s, s.cv_set).withColumn("res", F.col("rating") - F.col("b_t_pred"))
-    return factor_dot(cv, svd_fit(s, max(ranks)), list(ranks))
+def cv_residual_preds(s: RatingSets, ranks=SVD_RANKS, lam: float = M.LAMBDA_SYM) -> DataFrame:
+    cv = M.with_bt(s, s.cv_set, lam).withColumn("res", F.col("rating") - F.col("b_t_pred"))
+    return factor_dot(cv, svd_fit(s, max(ranks), lam), list(ranks))
 
 
-def tune_svd_curve(s: RatingSets, ranks=SVD_RANKS) -> DataFrame:
-    """(param = f, rmse of residual predictions on cv_set, unclamped)."""
-    pred = cv_residual_preds(s, ranks)
+def tune_svd_curve(s: RatingSets, ranks=SVD_RANKS, lam: float = M.LAMBDA_SYM) -> DataFrame:
+    """(param = f, rmse of residual predictions on cv_set, unclamped), scored
+    once per fit."""
+    return M._memo(s, ("svd_curve", tuple(ranks), lam), lambda: cut_lineage(_svd_curve(s, ranks, lam)))
+
+
+def _svd_curve(s: RatingSets, ranks, lam: float) -> DataFrame:
+    pred = cv_residual_preds(s, ranks, lam)
     n = F.count(F.lit(1))
     aggs = []
     for f in ranks:
@@ -57,29 +64,31 @@ def tune_svd_curve(s: RatingSets, ranks=SVD_RANKS) -> DataFrame:
     return pred.agg(F.array(*aggs).alias("_c")).select(F.inline("_c"))
 
 
-def best_rank(s: RatingSets, ranks=SVD_RANKS) -> int:
-    return int(argmin(tune_svd_curve(s, ranks)).first()["param"])
+def best_rank(s: RatingSets, ranks=SVD_RANKS, lam: float = M.LAMBDA_SYM) -> int:
+    return int(argmin(tune_svd_curve(s, ranks, lam)).first()["param"])
 
 
-def svd_test_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS)) -> DataFrame:
-    """clamp(unclamped four-bias sum + rank-f SVD residual) on test_set."""
-    f = f or best_rank(s)
-    base = M.predict(M.with_month(s.test_set), M.sym_chain(s), s.mu, name="_raw")
-    out = factor_dot(base, svd_fit(s, rank), [f], prefix="res_pred_svd")
-    return out.withColumn("pred", clamp(F.col("_raw") + F.col("res_pred_svd"))).drop("_raw")
+def svd_test_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS), lam: float = M.LAMBDA_SYM,
+                         on: str = "train", base: str = "raw") -> DataFrame:
+    """clamp(four-bias sum + rank-f SVD residual) on test_set; the sum itself
+    is unclamped (``base='clamped'``: clamped, as in training)."""
+    f = f or best_rank(s, lam=lam)
+    rows = M.sym_predictions(s, lam=lam, name="_base", clamp={"raw": False, "clamped": True}[base])
+    out = factor_dot(rows, svd_fit(s, rank, lam, on), [f], prefix="res_pred_svd")
+    return out.withColumn("pred", clamp(F.col("_base") + F.col("res_pred_svd"))).drop("_base")
 
 
-def svd_training_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS)) -> DataFrame:
+def svd_training_predictions(s: RatingSets, f: int | None = None, rank: int = max(SVD_RANKS),
+                             lam: float = M.LAMBDA_SYM, on: str = "train") -> DataFrame:
     """clamp(b_t_pred + rank-f SVD residual) on training_set."""
-    f = f or best_rank(s)
-    tm = M.with_bt(s, s.training_set)
-    out = factor_dot(tm, svd_fit(s, rank), [f], prefix="res_pred")
+    f = f or best_rank(s, lam=lam)
+    tm = M.with_bt(s, s.training_set, lam)
+    out = factor_dot(tm, svd_fit(s, rank, lam, on), [f], prefix="res_pred")
     return out.withColumn("final_pred", clamp(F.col("b_t_pred") + F.col("res_pred")))
 
 
 def mf_fit(s: RatingSets):
-    """(curve, best model, user id map, item id map); maps are None when the
-    ids already fit ALS's INT columns."""
+    """(curve, best model, user id map, item id map)."""
     def build():
         train, umap = int_ids(s.training_set.select("userId", "movieId", "rating"), "userId")
         train, imap = int_ids(train, "movieId")
@@ -88,11 +97,14 @@ def mf_fit(s: RatingSets):
     return M._memo(s, ("mf",), build)
 
 
-def mf_test_predictions(s: RatingSets) -> DataFrame:
-    """Unclamped ALS predictions for test_set; NaN (unknown id) -> NULL."""
+def mf_test_predictions(s: RatingSets, clamped: bool = False) -> DataFrame:
+    """ALS predictions for test_set, unclamped unless asked; NaN (unknown id)
+    -> NULL."""
     _, model, umap, imap = mf_fit(s)
     test = s.test_set.select("userId", "movieId", "rating", "rating_date")
     test = apply_ids(apply_ids(test, "userId", umap), "movieId", imap)
     scored = model.transform(test)
     scored = scored.withColumn("pred", F.when(~F.isnan("prediction"), F.col("prediction").cast("double")))
+    if clamped:
+        scored = scored.withColumn("pred", clamp("pred"))
     return restore_ids(scored.drop("prediction"), ["userId", "movieId"])

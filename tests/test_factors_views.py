@@ -10,6 +10,7 @@ from ratingspark.operators import aggregates as A
 from ratingspark.operators import views as V
 from ratingspark.operators.index import dense_index
 from ratingspark.operators.svd import factor_dot, truncated_svd
+from tests.conftest import SF_MED, SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def planted(spark):
 
 def test_svd_matches_numpy(planted):
     cells, M = planted
-    fit = truncated_svd(cells, rank=3, passes=30, oversample=5)
+    fit = truncated_svd(cells, rank=3, oversample=5)
     sv = np.linalg.svd(M, compute_uv=False)
     assert fit.sigma == pytest.approx(list(sv[:3]), rel=1e-6)
     # reconstruction of every observed cell equals numpy's rank-3 product
@@ -35,13 +36,12 @@ def test_svd_matches_numpy(planted):
     R = (U[:, :3] * S[:3]) @ Vt[:3]
     got = factor_dot(cells, fit).toPandas()
     ref = R[got.userId.to_numpy(), got.movieId.to_numpy()]
-    # Ritz values converge quadratically, vectors linearly: compare at 1e-3 of the scale
-    assert np.max(np.abs(got.res_pred.to_numpy() - ref)) < 1e-3 * np.max(np.abs(ref))
+    assert np.max(np.abs(got.res_pred.to_numpy() - ref)) < 1e-5 * np.max(np.abs(ref))
 
 
 def test_svd_prefix_ranks_and_missing(planted, spark):
     cells, M = planted
-    fit = truncated_svd(cells, rank=3, passes=20, oversample=5)
+    fit = truncated_svd(cells, rank=3, oversample=5)
     probe = spark.createDataFrame([(0, 0), (10**9, 0)], "userId long, movieId long")
     out = factor_dot(probe, fit, [1, 3]).orderBy("userId").collect()
     assert out[1]["res_pred_1"] == 0.0 and out[1]["res_pred_3"] == 0.0
@@ -82,11 +82,16 @@ def test_histogram_keeps_empty_bins(spark):
 
 
 def test_qq_points_line(spark):
-    df = spark.range(0, 1001).select((F.col("id") / 1000.0).alias("x"))
-    q = A.qq_points(df, "x", 11).collect()
-    assert len(q) == 11 and q[5]["theoretical"] == pytest.approx(0.0, abs=1e-12)
-    assert q[5]["sample"] == pytest.approx(0.5)
+    from statistics import NormalDist
+    df = spark.range(0, 1001).select(F.col("id"), ((F.col("id") * 17 % 1001) / 1000.0).alias("x"))
+    q = A.qq_points(df, "x", "id").orderBy("i").collect()
+    assert len(q) == 1001 and [r["sample"] for r in q] == [i / 1000 for i in range(1001)]
+    for r in q:
+        assert r["p"] == pytest.approx((r["i"] - 0.5) / 1001)
+        assert r["theoretical"] == pytest.approx(NormalDist().inv_cdf(r["p"]), abs=1e-12)
     assert q[0]["slope"] == pytest.approx(0.5 / (2 * 0.6744897501960817))
+    grid = A.qq_grid(df, "x", 11).collect()
+    assert len(grid) == 11 and grid[5]["sample"] == pytest.approx(0.5)
 
 
 def test_range_legend(spark):
@@ -107,21 +112,38 @@ def test_als_runs_and_scores(spark):
     assert A.rmse(pred).first()["rmse"] < 1.5
 
 
-def test_fixture_svd_against_numpy(spark):
-    """The registered SVD fit on the sf0.001 residual matrix against a dense
-    numpy SVD (brute force on a small fixture)."""
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MED])
+def test_registered_svd_against_numpy(spark, sf):
+    """The registered fit against a dense SVD of the same residual cells: the
+    products at every registered rank, and the rank that the curve picks."""
     from ratingspark.plans import factors as FX
-    from ratingspark.plans.pipeline import RatingSets
-    from tests.conftest import SF_SMALL
-    s = RatingSets(spark, SF_SMALL)
+    from ratingspark.plans import models as M
+    from ratingspark.plans.queries import sets
+    s = sets(spark, sf)
     cells = FX.residual_cells(s).toPandas()
-    fit = truncated_svd(spark.createDataFrame(cells), rank=5, passes=40)
     u = {v: i for i, v in enumerate(sorted(cells.userId.unique()))}
     it = {v: i for i, v in enumerate(sorted(cells.movieId.unique()))}
-    M = np.zeros((len(u), len(it)))
-    M[cells.userId.map(u), cells.movieId.map(it)] = cells.res
-    sv = np.linalg.svd(M, compute_uv=False)
-    assert fit.sigma == pytest.approx(list(sv[:5]), rel=2e-3)
+    dense = np.zeros((len(u), len(it)))
+    dense[cells.userId.map(u), cells.movieId.map(it)] = cells.res
+    U, sv, Vt = np.linalg.svd(dense, full_matrices=False)
+    fit = FX.svd_fit(s)
+    assert fit.sigma == pytest.approx(list(sv[:60]), rel=1e-7)
+    uf, vf = fit.user_factors.toPandas(), fit.item_factors.toPandas()
+    uf, vf = uf.set_index("userId").loc[list(u)].to_numpy(), vf.set_index("movieId").loc[list(it)].to_numpy()
+    for f in FX.SVD_RANKS:
+        want = (U[:, :f] * sv[:f]) @ Vt[:f]
+        assert np.linalg.norm(uf[:, :f] @ vf[:, :f].T - want) < 1e-3 * np.linalg.norm(want)
+    cv = M.with_bt(s, s.cv_set).toPandas()
+    known = cv.userId.isin(u) & cv.movieId.isin(it)
+    rmse = {}
+    for f in FX.SVD_RANKS:
+        approx = (U[:, :f] * sv[:f]) @ Vt[:f]
+        pred = np.zeros(len(cv))
+        pred[known] = approx[cv.userId[known].map(u), cv.movieId[known].map(it)]
+        rmse[f] = float(np.sqrt(np.mean((cv.rating - cv.b_t_pred - pred) ** 2)))
+    curve = {int(r["param"]): r["rmse"] for r in FX.tune_svd_curve(s).collect()}
+    assert curve == pytest.approx(rmse, abs=1e-5)
+    assert FX.best_rank(s) == min(rmse, key=rmse.get)
 
 
 def test_dense_index_more_partitions_than_ids(spark):
