@@ -12,32 +12,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingspark.functions.columns import normal_quantiles, ppoints
+from ratingspark.functions.columns import normal_quantile, normal_quantiles, ppoints
+from ratingspark.operators.order_stats import quantiles, with_position
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Spark's exact percentile keeps a value -> count map that is merged into one
-# buffer; fine for a rating scale or a few million distinct means, not for
-# hundreds of millions. Above this many distinct values (HyperLogLog
-# estimate) quantiles switch to percentile_approx at the given accuracy.
-EXACT_QUANTILE_DISTINCT = 5_000_000
-APPROX_ACCURACY = 1_000_000
-
-
-def quantile_expr(df: DataFrame, col: str, probs: list[float],
-                  exact_limit: int | None = None) -> Column:
-    """Array of quantiles of ``col`` at ``probs`` (linear interpolation when
-    exact)."""
-    exact_limit = EXACT_QUANTILE_DISTINCT if exact_limit is None else exact_limit
-    nd = df.agg(F.approx_count_distinct(col)).first()[0]
-    if nd <= exact_limit:
-        return F.percentile(F.col(col), probs)
-    return F.percentile_approx(F.col(col), probs, APPROX_ACCURACY)
-
-
 def global_mean(df: DataFrame, col: str = "rating", name: str = "mu") -> DataFrame:
     return df.agg(F.avg(col).alias(name))
 
@@ -77,16 +59,14 @@ def argmin(curve: DataFrame, value: str = "rmse", param: str = "param") -> DataF
 
 def summary_stats(df: DataFrame, col: str, label: str) -> DataFrame:
     """Min, first quartile, median, mean, third quartile, max (quartiles by
-    linear interpolation between order statistics)."""
-    q = quantile_expr(df, col, [0.25, 0.5, 0.75])
+    linear interpolation between exact order statistics)."""
+    q1, median, q3 = (F.lit(q).cast("double") for q in quantiles(df, col, [0.25, 0.5, 0.75]))
     return df.agg(
         F.lit(label).alias("variable"),
         F.min(col).cast("double").alias("min"),
-        q.alias("_q"),
         F.avg(col).alias("mean"),
         F.max(col).cast("double").alias("max"),
-    ).select("variable", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-             "mean", F.col("_q")[2].alias("q3"), "max")
+    ).select("variable", "min", q1.alias("q1"), median.alias("median"), "mean", q3.alias("q3"), "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -123,26 +103,37 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                       (xmin + F.lit(width / 2)).alias("x"), F.col("count").cast("bigint").alias("count"))
 
 
-def qq_points(df: DataFrame, col: str, points: int = 100) -> DataFrame:
-    """Normal QQ data on a fixed probability grid: for p_i = ppoints(points)
-    the sample quantile (linear interpolation) against the standard normal
-    quantile, plus the line through the quartiles (slope, intercept).
-
-    A fixed grid keeps the output size independent of the data; the
-    theoretical quantiles depend only on the grid, so they are computed on
-    the driver and enter as literals.
-    """
-    probs = ppoints(points)
-    theo = normal_quantiles(probs)
+def qq_line(q25: float, q75: float) -> tuple[float, float]:
+    """Slope and intercept of the line through the quartiles."""
     z25, z75 = normal_quantiles([0.25, 0.75])
-    agg = df.agg(quantile_expr(df, col, probs).alias("_sq"),
-                 quantile_expr(df, col, [0.25, 0.75]).alias("_qq"))
-    slope = (F.col("_qq")[1] - F.col("_qq")[0]) / F.lit(z75 - z25)
-    agg = agg.select("_sq", slope.alias("slope"), (F.col("_qq")[0] - slope * F.lit(z25)).alias("intercept"))
-    grid = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(float(p)).alias("p"), F.lit(float(t)).alias("theoretical"))
-                     for i, (p, t) in enumerate(zip(probs, theo))])
-    return (agg.select(F.inline(grid), "_sq", "slope", "intercept")
-            .select("i", "p", "theoretical", F.col("_sq")[F.col("i") - 1].alias("sample"), "slope", "intercept"))
+    slope = (q75 - q25) / (z75 - z25)
+    return slope, q25 - slope * z25
+
+
+def qq_points(df: DataFrame, col: str, key: str) -> DataFrame:
+    """Normal QQ data, one point per row: the i-th smallest value (ties by
+    ``key``) against the standard normal quantile of its plotting position,
+    with the line through the quartiles."""
+    values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("sample"), F.col(key))
+    slope, intercept = (F.lit(x) for x in qq_line(*quantiles(values, "sample", [0.25, 0.75])))
+    ranked = with_position(values, ["sample", key], "i")
+    n = ranked.count()
+    a = 0.375 if n <= 10 else 0.5
+    p = (F.col("i") - a) / F.lit(n + 1 - 2 * a)
+    return ranked.select(key, "i", p.alias("p"), normal_quantile(p).alias("theoretical"), "sample",
+                         slope.alias("slope"), intercept.alias("intercept"))
+
+
+def qq_grid(df: DataFrame, col: str, points: int) -> DataFrame:
+    """The same on a grid of ``points`` plotting positions: sample quantiles
+    against normal quantiles, for a plot of fixed size."""
+    probs = ppoints(points)
+    sample = quantiles(df, col, probs)
+    slope, intercept = qq_line(*quantiles(df, col, [0.25, 0.75]))
+    rows = [(i + 1, float(p), float(t), q, slope, intercept)
+            for i, (p, t, q) in enumerate(zip(probs, normal_quantiles(probs), sample))]
+    return df.sparkSession.createDataFrame(
+        rows, "i int, p double, theoretical double, sample double, slope double, intercept double")
 
 
 def mean_by(df: DataFrame, key: str, value, name: str = "avg_res") -> DataFrame:

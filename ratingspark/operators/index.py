@@ -1,32 +1,19 @@
 """Dense 1-based codes of sorted ids (factor levels), computed without
-moving all ids into one task.
-
-The distinct ids are range-partitioned and sorted inside each partition;
-``monotonically_increasing_id`` then equals (partition << 33) + position,
-so the position inside the partition is known without a window. A table
-of per-partition counts (one row per partition) gives each partition's
-offset by a running sum; it is broadcast (bounded by the partition count)
-and the code is offset + position.
+moving all ids into one task: the distinct ids' positions in sort order
+(``order_stats.with_position``, which reads its ranged ids from a written
+table, so offsets and positions always come from the same exchange).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingspark.operators.order_stats import with_position
+
 
 def dense_index(df: DataFrame, col: str, name: str = "index", partitions: int | None = None) -> DataFrame:
     """(col, name) for every distinct non-NULL value of ``col``; codes
     1..n follow the sort order of the values."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranged = ids.repartitionByRange(n, col).sortWithinPartitions(col)
-    pos = ranged.select(col, F.spark_partition_id().alias("_pid"),
-                        F.monotonically_increasing_id().alias("_mid"))
-    pos = pos.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33) + 1)
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).select("_pid", "_off")
-    return (pos.join(F.broadcast(offsets), "_pid")
-               .select(col, (F.col("_off") + F.col("_pos")).alias(name)))
+    return with_position(ids, [col], name, partitions)

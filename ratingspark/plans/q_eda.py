@@ -11,7 +11,7 @@ from ratingspark.plans.queries import r6, register, sets
 
 HIST_BINS_RATING = 10
 HIST_BINS_MEANS = 50
-QQ_POINTS = 100
+QQ_POINTS = 100   # of the fixed-size variant
 
 _MOVIE_MEANS = "(SELECT movieId, avg(rating) AS movie_avg_rating FROM training_set GROUP BY movieId)"
 _USER_MEANS = "(SELECT userId, avg(rating) AS user_avg_rating FROM training_set GROUP BY userId)"
@@ -89,6 +89,12 @@ def agg_hist(spark, sf_dir):
     return r6(A.histogram(sets(spark, sf_dir).training_set, "rating", HIST_BINS_RATING))
 
 
+@register("agg_hist_default", _hist_sql("training_set", "rating", 30))
+def agg_hist_default(spark, sf_dir):
+    """Rating histogram with the default 30 bins."""
+    return r6(A.histogram(sets(spark, sf_dir).training_set, "rating"))
+
+
 @register("agg_hist_movie", _hist_sql(_MOVIE_MEANS, "movie_avg_rating", HIST_BINS_MEANS))
 def agg_hist_movie(spark, sf_dir):
     """Histogram of movie mean ratings, 50 centred right-closed bins."""
@@ -101,7 +107,30 @@ def agg_hist_user(spark, sf_dir):
     return r6(A.histogram(_user_means(sets(spark, sf_dir)), "user_avg_rating", HIST_BINS_MEANS))
 
 
-def _qq_sql(rel: str, col: str, points: int = QQ_POINTS) -> str:
+def _qq_sql(rel: str, col: str, key: str) -> str:
+    z25, z75 = normal_quantiles([0.25, 0.75])
+    return O.with_sets(f"""SELECT {key}, i, round(p, 6) AS p, round({O.normal_quantile("p")}, 6) AS theoretical,
+       round({col}, 6) AS sample, round((q75 - q25) / {O.dbl(z75 - z25)}, 6) AS slope,
+       round(q25 - (q75 - q25) / {O.dbl(z75 - z25)} * {O.dbl(z25)}, 6) AS intercept
+FROM qp""", f"""qs AS (SELECT quantile_cont({col}, 0.25) AS q25, quantile_cont({col}, 0.75) AS q75, count(*) AS n FROM {rel} q),
+qp AS (SELECT r.*, qs.q25, qs.q75, (i - a) / (n + 1 - 2 * a) AS p
+       FROM (SELECT {key}, {col}, row_number() OVER (ORDER BY {col}, {key}) AS i FROM {rel} q) r
+       CROSS JOIN (SELECT *, CAST(CASE WHEN n <= 10 THEN 0.375 ELSE 0.5 END AS DOUBLE) AS a FROM qs) qs)""")
+
+
+@register("agg_qq", _qq_sql(_MOVIE_MEANS, "movie_avg_rating", "movieId"))
+def agg_qq(spark, sf_dir):
+    """Normal QQ data of movie means, one point per movie."""
+    return r6(A.qq_points(_movie_means(sets(spark, sf_dir)), "movie_avg_rating", "movieId"))
+
+
+@register("agg_qq_user", _qq_sql(_USER_MEANS, "user_avg_rating", "userId"))
+def agg_qq_user(spark, sf_dir):
+    """Normal QQ data of user means, one point per user."""
+    return r6(A.qq_points(_user_means(sets(spark, sf_dir)), "user_avg_rating", "userId"))
+
+
+def _qq_grid_sql(rel: str, col: str, points: int = QQ_POINTS) -> str:
     probs = ppoints(points)
     theo = normal_quantiles(probs)
     z25, z75 = normal_quantiles([0.25, 0.75])
@@ -115,13 +144,7 @@ FROM (VALUES {vals}) AS g(i, p, theoretical) CROSS JOIN qs""", f"""qs AS (SELECT
               quantile_cont({col}, 0.25) AS q25, quantile_cont({col}, 0.75) AS q75 FROM {rel} q)""")
 
 
-@register("agg_qq", _qq_sql(_MOVIE_MEANS, "movie_avg_rating"))
-def agg_qq(spark, sf_dir):
-    """Normal QQ points of movie means on a 100-point probability grid."""
-    return r6(A.qq_points(_movie_means(sets(spark, sf_dir)), "movie_avg_rating", QQ_POINTS))
-
-
-@register("agg_qq_user", _qq_sql(_USER_MEANS, "user_avg_rating"))
-def agg_qq_user(spark, sf_dir):
-    """Normal QQ points of user means on a 100-point probability grid."""
-    return r6(A.qq_points(_user_means(sets(spark, sf_dir)), "user_avg_rating", QQ_POINTS))
+@register("agg_qq_grid", _qq_grid_sql(_MOVIE_MEANS, "movie_avg_rating"))
+def agg_qq_grid(spark, sf_dir):
+    """Normal QQ points of movie means on a grid of 100 plotting positions."""
+    return r6(A.qq_grid(_movie_means(sets(spark, sf_dir)), "movie_avg_rating", QQ_POINTS))
