@@ -1,27 +1,19 @@
 """Seeded, stratified hold-out split and its repair.
 
-The hold-out draws ceil(p * n_s) rows from every stratum s, where the
-strata are the rating cut at its quartiles (unique breaks, lowest value
-included in the first interval). Which rows are drawn is decided by a
-seeded md5 of the row's key columns: the smallest hashes of each stratum
-go to the hold-out. That choice is deterministic, reproducible on any
-cluster size and expressible in SQL.
-
-Two physical strategies give the same rows:
-
-* ``ranked``: ``row_number() over (partition by stratum order by hash)``.
-  With four strata this is four sort tasks; fine up to a few million rows
-  per stratum.
-* ``bucketed``: the first hex digits of the hash form a bucket; rows are
-  counted per (stratum, bucket) (a table of at most strata x 16**digits
-  rows), a running count finds the one bucket per stratum where the
-  quota runs out, and only rows of those cut buckets are ranked. Every
-  other row is decided by a broadcast lookup, so no task sees more than
-  one bucket's share of a stratum. The prefix width follows the largest
-  stratum (about two million rows per cut bucket, at most five digits).
-
-``auto`` picks ``bucketed`` once the largest stratum passes
-``rank_limit`` rows.
+The hold-out draws ceil(p * n_s) rows from every stratum s, where the strata
+are the rating cut at its exact quartiles (unique breaks, lowest value
+included in the first interval). Which rows are drawn is decided by a seeded
+md5 of the row's key columns: the smallest hashes of each stratum go to the
+hold-out. That choice is deterministic, reproducible on any cluster size and
+expressible in SQL.
+
+No stratum is ever sorted. The hash that ends a stratum's quota is found by
+its hex digits, a few at a time: rows are counted per (stratum, next digits)
+inside the prefix found so far, a table of at most strata x 16^3 rows; the one
+prefix where the quota runs out is refined until it holds few rows. Then every
+row is decided by comparing its hash with its stratum's literal. Rows that tie
+on the last hash have equal keys; only they are numbered, and only if the
+quota ends among them.
 """
 
 from __future__ import annotations
@@ -29,71 +21,29 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUARTILE_PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
-
+from ratingspark.operators.order_stats import quantiles
+from ratingspark.session import cut_lineage
 
-# A rating scale has a handful of values; up to this many distinct values the
-# split reads the data once for a value -> count table and derives the exact
-# quartile breaks and every stratum's size from it on the driver.
-VALUE_TABLE_LIMIT = 100_000
+QUARTILE_PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
+DIGITS = 3            # hex digits read at a time: at most 4096 buckets a stratum
+FEW_ROWS = 1000       # a prefix with at most so many hashes is listed
+HASH_DIGITS = 32
 
 
 def rating_breaks(df: DataFrame, y: str = "rating") -> list[float]:
-    """Quartile breaks of ``y`` (linear interpolation; exact for a rating
-    scale, approximate beyond a few million distinct values)."""
-    from ratingspark.operators.aggregates import quantile_expr
-    return list(df.agg(quantile_expr(df, y, QUARTILE_PROBS).alias("q")).first()["q"])
-
-
-def value_counts(df: DataFrame, y: str, limit: int | None = None):
-    """[(value, count)] of ``y`` when it has at most ``limit`` distinct
-    values (one partial + final aggregate), else None."""
-    limit = VALUE_TABLE_LIMIT if limit is None else limit
-    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()
-    return None if len(rows) > limit else [(r[0], r[1]) for r in rows]
-
-
-def breaks_from_counts(vc, probs=QUARTILE_PROBS) -> list[float]:
-    """Linear-interpolation quantiles (position (n - 1) * p between order
-    statistics) from a value -> count table; NULL values are ignored."""
-    vals = sorted((v, c) for v, c in vc if v is not None)
-    n = sum(c for _, c in vals)
-    cum, ends = 0, []
-    for v, c in vals:
-        cum += c
-        ends.append((cum, v))       # order statistics [cum - c, cum) hold v
-
-    def order_stat(i):             # i-th smallest, 0-based
-        for end, v in ends:
-            if i < end:
-                return v
-        return ends[-1][1]
-
-    out = []
-    for p in probs:
-        h = (n - 1) * p
-        lo = math.floor(h)
-        a, b = order_stat(lo), order_stat(min(lo + 1, n - 1))
-        out.append(a + (h - lo) * (b - a))
-    return out
-
-
-def stratum_of(v, breaks: list[float]) -> int:
-    """Python twin of ``stratum_expr`` for one value (NULL -> 0)."""
-    if v is None:
-        return 0
-    return sum(1 for q in breaks[1:-1] if q > breaks[0] and v > q)
+    """Exact quartile breaks of ``y`` (linear interpolation)."""
+    return quantiles(df, y, QUARTILE_PROBS)
 
 
 def stratum_expr(y: str, breaks: list[float]):
-    """Index of the quartile interval of ``y``. Interior breaks equal to the
-    minimum are dropped (their interval is empty after ``unique``)."""
+    """Index of the quartile interval of ``y``; NULL counts in the first.
+    Interior breaks equal to the minimum are dropped (their interval is empty
+    after ``unique``)."""
     lo = breaks[0]
-    terms = [F.when(F.col(y) > F.lit(q), 1).otherwise(0) for q in breaks[1:-1] if q > lo]
+    terms = [F.when(F.col(y) > F.lit(q), 1).otherwise(0) for q in breaks[1:-1] if lo is not None and q > lo]
     return reduce(lambda a, b: a + b, terms, F.lit(0))
 
 
@@ -109,91 +59,87 @@ def hash_expr(key_cols: list[str], seed, y: str = "rating"):
     return F.md5(F.concat_ws("|", *parts))
 
 
-CUT_BUCKET_ROWS = 2_000_000   # target rows ranked in one cut bucket
-MAX_HEX_DIGITS = 5            # bucket table <= strata x 16**5 rows
-
-
-def bucket_digits(max_stratum: int) -> int:
-    """Hash-prefix width so a cut bucket holds about CUT_BUCKET_ROWS rows of
-    the largest stratum (2 to 5 hex digits: 256 to 1,048,576 buckets)."""
-    d = 2
-    while d < MAX_HEX_DIGITS and max_stratum / 16 ** d > CUT_BUCKET_ROWS:
-        d += 1
-    return d
+def last_hashes(hashed: DataFrame, need: dict[int, int], digits: int = DIGITS,
+                few: int = FEW_ROWS) -> dict[int, tuple[str, int, int]]:
+    """{stratum: (hash of the need-th smallest row, rows with that hash, how
+    many of them are needed)} of (_s, _h) rows; a stratum that needs none is
+    left out. What is collected is bounded by the buckets and ``few``."""
+    open_ = {s: ("", k) for s, k in need.items() if k > 0}   # prefix, rows still needed inside it
+    out: dict[int, tuple[str, int, int]] = {}
+    while open_:
+        depth = len(next(iter(open_.values()))[0])
+        inside = reduce(lambda a, b: a | b, [(F.col("_s") == s) & F.col("_h").startswith(pre)
+                                             for s, (pre, _) in open_.items()])
+        rows = hashed.where(inside)
+        width = min(depth + digits, HASH_DIGITS)
+        counts: dict[int, list] = {}
+        for r in rows.groupBy("_s", F.substring("_h", 1, width).alias("_b")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["_s"], []).append((r["_b"], r["n"]))
+        cut, small = {}, {}
+        for s, (_, k) in open_.items():
+            for b, n in sorted(counts[s]):
+                if k <= n:
+                    (small if n <= few or width == HASH_DIGITS else cut)[s] = (b, k)
+                    break
+                k -= n
+        if small:
+            inside = reduce(lambda a, b: a | b, [(F.col("_s") == s) & F.col("_h").startswith(pre)
+                                                 for s, (pre, _) in small.items()])
+            listed: dict[int, list] = {}
+            for r in hashed.where(inside).groupBy("_s", "_h").agg(F.count(F.lit(1)).alias("n")).collect():
+                listed.setdefault(r["_s"], []).append((r["_h"], r["n"]))
+            for s, (_, k) in small.items():
+                for h, n in sorted(listed[s]):
+                    if k <= n:
+                        out[s] = (h, n, k)
+                        break
+                    k -= n
+        open_ = cut
+    return out
 
 
 def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
-                       key_cols: list[str] | None = None, method: str = "auto",
-                       hex_digits: int | None = None, rank_limit: int = 5_000_000,
-                       flag: str = "_holdout") -> DataFrame:
+                       key_cols: list[str] | None = None, flag: str = "_holdout", digits: int = DIGITS,
+                       few: int = FEW_ROWS) -> DataFrame:
     """Add boolean column ``flag``: True for the drawn hold-out rows."""
     key_cols = key_cols or ["userId", "movieId", y, "timestamp"]
-    vc = value_counts(df, y)
-    if vc is not None:
-        # one pass: breaks and stratum sizes both follow from the value table
-        breaks = breaks_from_counts(vc)
-        counts: dict[int, int] = {}
-        for v, c in vc:
-            counts[stratum_of(v, breaks)] = counts.get(stratum_of(v, breaks), 0) + c
-    else:
-        breaks = rating_breaks(df, y)
-    h = df.withColumn("_s", stratum_expr(y, breaks)).withColumn("_h", hash_expr(key_cols, seed, y))
-    if vc is None:
-        counts = {r["_s"]: r["n"] for r in h.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    need = {s: int(math.ceil(p * n)) for s, n in counts.items()}
-    need_col = F.create_map(*[F.lit(x) for kv in need.items() for x in kv])[F.col("_s")]
-    if method == "auto":
-        method = "bucketed" if max(counts.values()) > rank_limit else "ranked"
-    order = [F.col("_h")] + [F.col(c) for c in key_cols]
-    if method == "ranked":
-        w = Window.partitionBy("_s").orderBy(*order)
-        out = h.withColumn(flag, F.row_number().over(w) <= need_col)
-        return out.drop("_s", "_h")
-    if method != "bucketed":
-        raise ValueError(method)
-    if hex_digits is None:
-        hex_digits = bucket_digits(max(counts.values()))
-    hb = h.withColumn("_b", F.conv(F.substring("_h", 1, hex_digits), 16, 10).cast("int"))
-    bucket_counts = hb.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    status = (bucket_counts
-              .withColumn("_cum", F.sum("_cnt").over(wb))
-              .withColumn("_need", need_col)
-              .withColumn("_before", F.col("_cum") - F.col("_cnt"))
-              .withColumn("_take", F.col("_need") - F.col("_before"))
-              .select("_s", "_b", "_cum", "_before", "_need", "_take"))
-    # bounded: at most (#strata) x 16**hex_digits rows
-    marked = hb.join(F.broadcast(status), ["_s", "_b"], "inner")
-    decided = marked.filter((F.col("_cum") <= F.col("_need")) | (F.col("_before") >= F.col("_need")))
-    decided = decided.withColumn(flag, F.col("_cum") <= F.col("_need"))
-    cut = marked.filter((F.col("_cum") > F.col("_need")) & (F.col("_before") < F.col("_need")))
-    wc = Window.partitionBy("_s", "_b").orderBy(*order)
-    cut = cut.withColumn(flag, F.row_number().over(wc) <= F.col("_take"))
-    tmp = ["_s", "_h", "_b", "_cum", "_before", "_need", "_take"]
-    return decided.drop(*tmp).unionByName(cut.drop(*tmp))
+    h = df.withColumn("_s", stratum_expr(y, rating_breaks(df, y))).withColumn("_h", hash_expr(key_cols, seed, y))
+    narrow = h.select("_s", "_h")
+    need = {r["_s"]: int(math.ceil(p * r["n"])) for r in narrow.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    last = last_hashes(narrow, need, digits, few)
+    taken, tied = F.lit(False), {}
+    for s, (end, n, k) in last.items():
+        row = F.col("_s") == s
+        taken = taken | (row & ((F.col("_h") <= end) if n == k else (F.col("_h") < end)))
+        if n > k:
+            tied[s] = (end, k)
+    if not tied:
+        return h.withColumn(flag, taken).drop("_s", "_h")
+    is_tie = reduce(lambda a, b: a | b, [(F.col("_s") == s) & (F.col("_h") == end) for s, (end, _) in tied.items()])
+    quota = reduce(lambda e, s: F.when(F.col("_s") == s, tied[s][1]).otherwise(e), tied, F.lit(0))
+    w = Window.partitionBy("_s", "_h").orderBy(*[F.col(c) for c in key_cols])
+    ties = h.where(is_tie).withColumn(flag, F.row_number().over(w) <= quota)
+    return h.where(~is_tie).withColumn(flag, taken).unionByName(ties).drop("_s", "_h")
 
 
 def repair_holdout(flagged: DataFrame, flag: str = "_holdout", item: str = "movieId",
-                   user: str = "userId", persist: bool = True) -> tuple[DataFrame, DataFrame]:
+                   user: str = "userId") -> tuple[DataFrame, DataFrame]:
     """Keep a hold-out row only if its item and its user occur among the
     non-hold-out rows; the other hold-out rows go back to training.
 
     One pass over the hold-out side: left joins to the distinct training
     items and users (marker columns) give one ``keep`` flag, instead of a
-    semi join, a second semi join and an anti join on every column.
+    semi join, a second semi join and an anti join on every column. The
+    checked hold-out is written once, as both results read it.
     Returns (training, holdout) without the flag column.
     """
-    if persist:
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     base = flagged.filter(~F.col(flag))
     hold = flagged.filter(F.col(flag))
     items = base.select(item).distinct().withColumn("_ki", F.lit(True))
     users = base.select(user).distinct().withColumn("_ku", F.lit(True))
     checked = hold.join(items, item, "left").join(users, user, "left")
     keep = F.coalesce(F.col("_ki"), F.lit(False)) & F.coalesce(F.col("_ku"), F.lit(False))
-    checked = checked.withColumn("_keep", keep).select(*flagged.columns, "_keep")
-    if persist:
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+    checked = cut_lineage(checked.withColumn("_keep", keep).select(*flagged.columns, "_keep"))
     cols = [c for c in flagged.columns if c != flag]
     test = checked.filter(F.col("_keep")).select(*cols)
     removed = checked.filter(~F.col("_keep")).select(*cols)
@@ -202,7 +148,6 @@ def repair_holdout(flagged: DataFrame, flag: str = "_holdout", item: str = "movi
 
 
 def holdout_split(df: DataFrame, p: float = 0.1, seed=1, key_cols: list[str] | None = None,
-                  method: str = "auto", persist: bool = True, **kw) -> tuple[DataFrame, DataFrame]:
-    """Stratified draw + repair: (training, holdout)."""
-    flagged = stratified_holdout(df, p=p, seed=seed, key_cols=key_cols, method=method, **kw)
-    return repair_holdout(flagged, persist=persist)
+                  **kw) -> tuple[DataFrame, DataFrame]:
+    """Stratified draw (written once) + repair: (training, holdout)."""
+    return repair_holdout(cut_lineage(stratified_holdout(df, p=p, seed=seed, key_cols=key_cols, **kw)))

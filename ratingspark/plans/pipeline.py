@@ -1,11 +1,12 @@
 """Ingest -> split -> tidy: the data sets every model and view starts from.
 
-    joined                  = ratings LEFT JOIN movies (movie table broadcast after a size check)
-    development, validation = stratified 10 % hold-out of joined, repaired
+    flagged                 = stratified 10 % hold-out drawn on the ratings, then LEFT JOIN movies
+                              (movie table broadcast after a size check)
+    development, validation = flagged, repaired
     training_set, test_set = tidied development, validation
     train_set, cv_set      = the same split applied to training_set
 
-The four tidy sets are written once as parquet tables in the shared
+The flagged rows and the four tidy sets are written once as parquet tables in the shared
 checkpoint folder and read back: every model reads them many times, the
 scans prune columns, and the cut keeps later plans (bias chains, grids,
 SVD passes) from re-planning the split.
@@ -15,17 +16,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingspark.functions.columns import epoch_to_date, release_year, round_month, tidy_title
 from ratingspark.operators.joins import broadcast_checked
-from ratingspark.operators.split import holdout_split
+from ratingspark.operators.split import holdout_split, repair_holdout, stratified_holdout
 from ratingspark.session import cut_lineage
 from ratingspark.sources.fixtures import movies_from_parts, ratings_from_orders
 
 TIDY_COLUMNS = ["userId", "movieId", "rating", "rating_date", "release_year", "tidy_title", "genres"]
+JOINED_COLUMNS = ["movieId", "userId", "rating", "timestamp", "title", "genres"]
 OUTER_SEED = 1
 INNER_SEED = 2
 HOLDOUT_FRACTION = 0.1
@@ -57,12 +58,12 @@ class RatingSets:
     """Lazily built, cached data sets for one input directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, ratings: DataFrame | None = None,
-                 movies: DataFrame | None = None, split_method: str = "auto"):
+                 movies: DataFrame | None = None, fraction: float = HOLDOUT_FRACTION):
         self.spark = spark
         self.sf_dir = sf_dir
         self._ratings = ratings
         self._movies = movies
-        self.split_method = split_method
+        self.fraction = fraction
 
     @cached_property
     def ratings(self) -> DataFrame:
@@ -73,13 +74,25 @@ class RatingSets:
         return self._movies if self._movies is not None else movies_from_parts(self.spark, self.sf_dir)
 
     @cached_property
+    def flagged(self) -> DataFrame:
+        """Every rating with its movie attributes and ``_holdout``: drawn for
+        the outer hold-out. The draw only needs rating columns, so movies join
+        afterwards; that keeps rows one to one because movie ids are unique,
+        which is checked."""
+        twice = self.movies.groupBy("movieId").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("movieId").first()
+        if twice is not None:
+            raise ValueError(f"movie id {twice[0]} occurs more than once")
+        drawn = stratified_holdout(self.ratings, p=self.fraction, seed=OUTER_SEED,
+                                   key_cols=["userId", "movieId", "rating", "timestamp"])
+        return cut_lineage(join_movies(drawn, self.movies).select(*JOINED_COLUMNS, "_holdout"))
+
+    @property
     def joined(self) -> DataFrame:
-        return join_movies(self.ratings, self.movies).persist(StorageLevel.MEMORY_AND_DISK)
+        return self.flagged.select(*JOINED_COLUMNS)
 
     @cached_property
     def _outer(self) -> tuple[DataFrame, DataFrame]:
-        return holdout_split(self.joined, p=HOLDOUT_FRACTION, seed=OUTER_SEED,
-                             key_cols=["userId", "movieId", "rating", "timestamp"], method=self.split_method)
+        return repair_holdout(self.flagged)
 
     @property
     def development(self) -> DataFrame:
@@ -100,7 +113,7 @@ class RatingSets:
     @cached_property
     def _inner(self) -> tuple[DataFrame, DataFrame]:
         return holdout_split(self.training_set, p=HOLDOUT_FRACTION, seed=INNER_SEED,
-                             key_cols=["userId", "movieId", "rating", "rating_date"], method=self.split_method)
+                             key_cols=["userId", "movieId", "rating", "rating_date"])
 
     @cached_property
     def train_set(self) -> DataFrame:

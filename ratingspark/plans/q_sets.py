@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ratingspark.operators import aggregates as A
 from ratingspark.operators.joins import anti_join_all, semi_join
-from ratingspark.operators.split import stratified_holdout
 from ratingspark.plans import oracle as O
 from ratingspark.plans.queries import ML, TIDY, _sel, r6, register, sets
 
@@ -17,22 +16,18 @@ def join_left_dim(spark, sf_dir):
     return r6(sets(spark, sf_dir).joined.select(*ML))
 
 
+def _drawn(s):
+    return s.flagged.filter(F.col("_holdout")).select(*ML)
+
+
+def _left(s):
+    return s.flagged.filter(~F.col("_holdout")).select(*ML)
+
+
 @register("split_stratified", O.with_sets(_sel("o_f", ML) + " WHERE _hold"))
 def split_stratified(spark, sf_dir):
     """Rows drawn for the hold-out before the repair."""
-    s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
-                                 key_cols=["userId", "movieId", "rating", "timestamp"])
-    return r6(flagged.filter(F.col("_holdout")).select(*ML))
-
-
-@register("split_stratified_bucketed", O.with_sets(_sel("o_f", ML) + " WHERE _hold"))
-def split_stratified_bucketed(spark, sf_dir):
-    """The same draw by the bucketed strategy (cut buckets ranked only)."""
-    s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.joined, p=0.1, seed=1, method="bucketed",
-                                 key_cols=["userId", "movieId", "rating", "timestamp"])
-    return r6(flagged.filter(F.col("_holdout")).select(*ML))
+    return r6(_drawn(sets(spark, sf_dir)))
 
 
 @register("split_repair", O.with_sets(_sel("validation", ML)))
@@ -50,38 +45,65 @@ def set_union_all(spark, sf_dir):
 @register("row_split", O.with_sets(_sel("o_f", ML) + " WHERE NOT _hold"))
 def row_split(spark, sf_dir):
     """Rows not in the drawn index set."""
-    s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
-                                 key_cols=["userId", "movieId", "rating", "timestamp"])
-    return r6(flagged.filter(~F.col("_holdout")).select(*ML))
+    return r6(_left(sets(spark, sf_dir)))
 
 
 _TEMP = "(SELECT " + ", ".join(f'"{c}"' for c in ML) + " FROM o_f WHERE _hold)"
 
 
-@register("join_semi", O.with_sets(
-    f"SELECT * FROM {_TEMP} t WHERE t.movieId IN (SELECT movieId FROM o_f WHERE NOT _hold) "
-    "AND t.userId IN (SELECT userId FROM o_f WHERE NOT _hold)"))
+_SEMI_SQL = (f"SELECT * FROM {_TEMP} t WHERE t.movieId IN (SELECT movieId FROM o_f WHERE NOT _hold) "
+             "AND t.userId IN (SELECT userId FROM o_f WHERE NOT _hold)")
+_ANTI_SQL = (f"SELECT * FROM {_TEMP} t WHERE NOT EXISTS (SELECT 1 FROM validation v WHERE "
+             + " AND ".join(f't."{c}" IS NOT DISTINCT FROM v."{c}"' for c in ML) + ")")
+
+
+def _semi(s):
+    return semi_join(semi_join(_drawn(s), _left(s), "movieId"), _left(s), "userId")
+
+
+def _anti(s):
+    return anti_join_all(_drawn(s), s.validation.select(*ML))
+
+
+@register("join_semi", O.with_sets(_SEMI_SQL))
 def join_semi(spark, sf_dir):
     """temp semi-joined to the drawn-out rows on movie, then on user."""
-    s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
-                                 key_cols=["userId", "movieId", "rating", "timestamp"])
-    base = flagged.filter(~F.col("_holdout"))
-    temp = flagged.filter(F.col("_holdout")).select(*ML)
-    return r6(semi_join(semi_join(temp, base, "movieId"), base, "userId"))
+    return r6(_semi(sets(spark, sf_dir)))
 
 
-@register("join_anti_all", O.with_sets(
-    f"SELECT * FROM {_TEMP} t WHERE NOT EXISTS (SELECT 1 FROM validation v WHERE "
-    + " AND ".join(f't."{c}" IS NOT DISTINCT FROM v."{c}"' for c in ML) + ")"))
+@register("join_anti_all", O.with_sets(_ANTI_SQL))
 def join_anti_all(spark, sf_dir):
     """removed = temp anti-joined to validation on every column, NULL = NULL."""
-    s = sets(spark, sf_dir)
-    flagged = stratified_holdout(s.joined, p=0.1, seed=1,
-                                 key_cols=["userId", "movieId", "rating", "timestamp"])
-    temp = flagged.filter(F.col("_holdout")).select(*ML)
-    return r6(anti_join_all(temp, s.validation.select(*ML)))
+    return r6(_anti(sets(spark, sf_dir)))
+
+
+# The same four with a hold-out so large that many users and movies are left
+# without training rows: the semi join filters, the repair puts rows back.
+LARGE = 0.97
+
+
+@register("join_semi_large", O.with_sets(_SEMI_SQL, p=LARGE))
+def join_semi_large(spark, sf_dir):
+    """join_semi on a 97 % hold-out."""
+    return r6(_semi(sets(spark, sf_dir, LARGE)))
+
+
+@register("join_anti_all_large", O.with_sets(_ANTI_SQL, p=LARGE))
+def join_anti_all_large(spark, sf_dir):
+    """join_anti_all on a 97 % hold-out: the rows that go back to training."""
+    return r6(_anti(sets(spark, sf_dir, LARGE)))
+
+
+@register("split_repair_large", O.with_sets(_sel("validation", ML), p=LARGE))
+def split_repair_large(spark, sf_dir):
+    """validation of a 97 % hold-out."""
+    return r6(sets(spark, sf_dir, LARGE).validation.select(*ML))
+
+
+@register("set_union_all_large", O.with_sets(_sel("development", ML), p=LARGE))
+def set_union_all_large(spark, sf_dir):
+    """development of a 97 % hold-out, with the removed rows."""
+    return r6(sets(spark, sf_dir, LARGE).development.select(*ML))
 
 
 @register("tidy_training_set", O.with_sets(_sel("training_set", TIDY)))

@@ -47,10 +47,13 @@ def hot(spark):
     return spark.createDataFrame(rows, "userId long, movieId long, rating double, timestamp long").cache()
 
 
-def test_hot_user_split_strategies_agree(hot):
+def test_hot_user_split_needs_no_window_or_join(hot):
     keys = ["userId", "movieId", "rating", "timestamp"]
-    a = stratified_holdout(hot, 0.1, 7, key_cols=keys, method="ranked").filter("_holdout")
-    b = stratified_holdout(hot, 0.1, 7, key_cols=keys, method="bucketed", hex_digits=3).filter("_holdout")
+    a = stratified_holdout(hot, 0.1, 7, key_cols=keys)
+    plan = _plan(a)
+    assert "Window" not in plan and "Join" not in plan and "Exchange" not in plan
+    b = stratified_holdout(hot, 0.1, 7, key_cols=keys, digits=1, few=2).filter("_holdout")
+    a = a.filter("_holdout")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 

@@ -8,26 +8,68 @@ from pyspark.sql import functions as F
 
 from ratingspark.operators import aggregates as A
 from ratingspark.operators import split as S
+from ratingspark.operators.index import dense_index
 from ratingspark.operators.mf import apply_ids, int_ids, restore_ids, tune_als
+from ratingspark.operators.order_stats import quantiles
 
 
-def test_split_without_value_table_matches(spark, monkeypatch):
-    rows = [(u, u % 37, float(1 + (u * 7) % 10) / 2, u) for u in range(3000)]
+def _drawn_by_sorting(df, p, seed, keys):
+    """The draw by sorting every stratum on the driver."""
+    import math
+    rows = (df.withColumn("_s", S.stratum_expr("rating", S.rating_breaks(df)))
+              .withColumn("_h", S.hash_expr(keys, seed)).collect())
+    out = []
+    for s in {r["_s"] for r in rows}:
+        mine = sorted((r for r in rows if r["_s"] == s), key=lambda r: (r["_h"], *[r[k] for k in keys]))
+        out += [tuple(r[k] for k in keys) for r in mine[:math.ceil(p * len(mine))]]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("digits,few", [(3, 1000), (1, 1), (1, 5), (2, 3)])
+def test_split_thresholds_equal_sorting(spark, digits, few):
+    """Whatever the prefix width and the size of the listed rest, and with
+    rows that repeat so that a quota ends among ties."""
+    rows = [(u, u % 37, float(1 + (u * 7) % 10) / 2, u) for u in range(600)]
+    rows += [(1, 1, 4.5, 1)] * 200 + [(2, 2, 0.5, 2)] * 150
     df = spark.createDataFrame(rows, "userId long, movieId long, rating double, timestamp long")
     keys = ["userId", "movieId", "rating", "timestamp"]
-    a = S.stratified_holdout(df, 0.1, 3, key_cols=keys).filter("_holdout")
-    monkeypatch.setattr(S, "VALUE_TABLE_LIMIT", 2)      # more distinct ratings than this
-    b = S.stratified_holdout(df, 0.1, 3, key_cols=keys).filter("_holdout")
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    for p in (0.1, 0.5):
+        got = S.stratified_holdout(df, p, 3, key_cols=keys, digits=digits, few=few).filter("_holdout").select(*keys)
+        assert sorted(tuple(r) for r in got.collect()) == _drawn_by_sorting(df, p, 3, keys)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 101, 20000])
+def test_quantiles_equal_numpy(spark, n):
+    rng = np.random.default_rng(n)
+    values = np.round(rng.normal(0, 3, n), 2)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    probs = [0.0, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
+    assert quantiles(df, "x", probs) == pytest.approx(list(np.quantile(values, probs)), abs=1e-12)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert quantiles(df, "x", [0.5]) == [None]
+    assert A.summary_stats(df, "x", "x").first()["median"] is None
+
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_dense_index_with_and_without_exchange_reuse(spark, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        ids = spark.range(0, 1_000_000).select((F.col("id") * 7_919_001 + 13).alias("id"))
+        got = dense_index(ids, "id", "code", partitions=13)
+        r = got.agg(F.count_distinct("code").alias("n"), F.min("code").alias("lo"), F.max("code").alias("hi"),
+                    F.sum((F.col("code") != (F.col("id") - 13) / 7_919_001 + 1).cast("int")).alias("wrong")).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert (r["n"], r["lo"], r["hi"], r["wrong"]) == (1_000_000, 1, 1_000_000, 0)
 
-def test_approximate_quantiles_close(spark, monkeypatch):
-    df = spark.range(0, 20000).select((F.col("id") / 20000.0).alias("x"))
-    exact = A.summary_stats(df, "x", "x").first()
-    monkeypatch.setattr(A, "EXACT_QUANTILE_DISTINCT", 10)
-    approx = A.summary_stats(df, "x", "x").first()
-    for c in ("q1", "median", "q3"):
-        assert approx[c] == pytest.approx(exact[c], abs=1e-3)
+
+def test_als_refuses_null_ids(spark):
+    df = spark.createDataFrame([(1, 1, 3.0), (None, 1, 3.0)], "userId long, movieId long, rating double")
+    with pytest.raises(ValueError, match="NULL"):
+        int_ids(df, "userId")
 
 
 def test_als_with_ids_beyond_int(spark):
@@ -63,15 +105,26 @@ def test_bias_chain_without_broadcast_same_result(spark):
     assert a == pytest.approx(b, rel=1e-12)
 
 
-def test_svd_without_item_broadcast_same_sigma(spark, monkeypatch):
+def test_svd_without_item_broadcast_same_factors(spark):
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(4)
+    rows = [(int(u), int(i), float(rng.normal())) for u in range(60) for i in range(40) if rng.random() < 0.4]
+    cells = spark.createDataFrame(rows, "userId long, movieId long, res double")
+    a = SV.truncated_svd(cells, rank=3, oversample=20)
+    b = SV.truncated_svd(cells, rank=3, oversample=20, tol=1e-5, block_bytes=1)
+    assert a.sigma == pytest.approx(b.sigma, rel=1e-8)
+    pa, pb = (SV.factor_dot(cells, f).orderBy("userId", "movieId").toPandas().res_pred for f in (a, b))
+    assert np.abs(pa - pb).max() < 1e-3 * np.abs(pa).max()
+
+
+def test_svd_that_does_not_converge_raises(spark):
     import ratingspark.operators.svd as SV
     rng = np.random.default_rng(4)
     rows = [(int(u), int(i), float(rng.normal())) for u in range(60) for i in range(40) if rng.random() < 0.4]
     cells = spark.createDataFrame(rows, "userId long, movieId long, res double")
-    a = SV.truncated_svd(cells, rank=3, passes=5, oversample=4)
-    monkeypatch.setattr(SV, "DEFAULT_BROADCAST_BYTES", 1)
-    b = SV.truncated_svd(cells, rank=3, passes=5, oversample=4)
-    assert a.sigma == pytest.approx(b.sigma, rel=1e-9)
+    for block_bytes in (1, SV.BLOCK_BYTES):
+        with pytest.raises(SV.NotConverged):
+            SV.truncated_svd(cells, rank=3, oversample=2, max_products=2, block_bytes=block_bytes)
 
 
 def test_large_stage_table_joined_while_row_is_narrow(spark):

@@ -28,13 +28,6 @@ def test_fixture_counts(joined):
     assert joined.select("movieId").distinct().count() == 200
 
 
-def test_ranked_equals_bucketed(joined):
-    a = stratified_holdout(joined, 0.1, 1, key_cols=KEYS, method="ranked").filter("_holdout").drop("_holdout")
-    b = stratified_holdout(joined, 0.1, 1, key_cols=KEYS, method="bucketed", hex_digits=2) \
-        .filter("_holdout").drop("_holdout")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_quota_per_stratum(joined):
     import math
     flagged = stratified_holdout(joined, 0.1, 1, key_cols=KEYS)
@@ -88,24 +81,3 @@ def test_round_month(spark, day, expected):
 def test_epoch_date_is_utc(spark):
     df = spark.createDataFrame([(86399,), (86400,)], "ts long")
     assert [r[0] for r in df.select(epoch_to_date("ts")).collect()] == [dt.date(1970, 1, 1), dt.date(1970, 1, 2)]
-
-
-def test_breaks_from_value_table_equal_percentile(spark):
-    import random
-    from ratingspark.operators.split import QUARTILE_PROBS, breaks_from_counts, value_counts
-    rnd = random.Random(5)
-    for n in (1, 2, 7, 101, 1000):
-        vals = [rnd.choice([0.5, 1.0, 2.5, 3.0, 4.5, 5.0]) for _ in range(n)]
-        df = spark.createDataFrame([(v,) for v in vals], "rating double")
-        exact = df.agg(F.percentile("rating", QUARTILE_PROBS)).first()[0]
-        assert breaks_from_counts(value_counts(df, "rating")) == pytest.approx(exact, abs=1e-12)
-
-
-def test_bucket_width_follows_stratum_size():
-    from ratingspark.operators.split import CUT_BUCKET_ROWS, bucket_digits
-    assert bucket_digits(10_000) == 2
-    assert bucket_digits(10**9) == 3
-    for n in (10**8, 10**10, 7 * 10**11):
-        d = bucket_digits(n)
-        assert d == 5 or n / 16 ** d <= CUT_BUCKET_ROWS
-    assert bucket_digits(10**14) == 5          # table stays <= strata x 16**5 rows
