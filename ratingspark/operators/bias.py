@@ -151,7 +151,9 @@ def grid_rmse(pred: DataFrame, lambdas: list[float], rating: str = "rating", pre
     return wide.select(F.inline(rows))
 
 
-GRID_CHUNK = 64   # penalties per job: bounds the sum columns per aggregate and per row
+# Penalties per job. A row carries as many accumulated as joined columns; with
+# the keys they must stay under Spark's limit of 100 fields for generated code.
+GRID_CHUNK = 41
 
 
 def tune_chain(train, score: DataFrame, keys: list[str], lambdas: list[float], train_base="mu",

@@ -3,19 +3,22 @@
 four-bias model, and b_t_pred for later factor models.
 
 Penalties default to the values the analysis selected on its data; every
-function also takes them as arguments, and ``tuned_*`` helpers pick them
-from a grid (first minimum).
+function also takes them as arguments, and ``tuned`` picks all of them from
+their grids (first minima), as is right for other data.
 
 Which training set fits which stage follows the analysis by default:
 
 * ``mu`` is the mean of training_set, also while tuning on train_set;
-* the time grid uses movie/user biases fitted on training_set;
+* the time grid uses movie/user biases fitted on training_set
+  (``bias_from='train'``: on train_set, so cv_set stays unseen);
 * the final symmetric model fits movie/user on training_set and year/month
-  on train_set (``sym_year_month_on='training'`` fits all on training_set).
+  on train_set (``year_month_on='training'``: all on training_set).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +51,13 @@ def _memo(s: RatingSets, key, build):
     return memo[key]
 
 
-def movie_user_chain(s: RatingSets, lam: float) -> BiasChain:
-    """b_i then b_u, fitted on training_set at one penalty."""
-    return _memo(s, ("mu_chain", lam), lambda: fit_chain(s.training_set, MU_KEYS, [lam], base=s.mu))
+def movie_user_chain(s: RatingSets, lam: float, on: str = "training") -> BiasChain:
+    """b_i then b_u at one penalty, fitted on training_set (or train_set)."""
+    return _memo(s, ("mu_chain", lam, on), lambda: fit_chain(_set(s, on), MU_KEYS, [lam], base=s.mu))
+
+
+def _set(s: RatingSets, on: str) -> DataFrame:
+    return {"training": s.training_set, "train": s.train_set}[on]
 
 
 def predict(df: DataFrame, chain: BiasChain, base, name: str = "pred", clamp: bool = False) -> DataFrame:
@@ -95,15 +102,15 @@ def sym_chain(s: RatingSets, lam: float = LAMBDA_SYM, year_month_on: str = "trai
 
 
 def sym_predictions(s: RatingSets, df: DataFrame | None = None, lam: float = LAMBDA_SYM,
-                    name: str = "pred") -> DataFrame:
+                    name: str = "pred", year_month_on: str = "train", clamp: bool = True) -> DataFrame:
     df = with_month(s.test_set if df is None else df)
-    return predict(df, sym_chain(s, lam), s.mu, name=name, clamp=True)
+    return predict(df, sym_chain(s, lam, year_month_on), s.mu, name=name, clamp=clamp)
 
 
-def with_bt(s: RatingSets, df: DataFrame, lam: float = LAMBDA_SYM) -> DataFrame:
+def with_bt(s: RatingSets, df: DataFrame, lam: float = LAMBDA_SYM, year_month_on: str = "train") -> DataFrame:
     """The analysis' "modified" sets: + rating_month, + b_t_pred (clamped
     four-bias prediction)."""
-    return sym_predictions(s, df, lam, name="b_t_pred")
+    return sym_predictions(s, df, lam, name="b_t_pred", year_month_on=year_month_on)
 
 
 # ---- tuning curves (one Spark job per grid) ---------------------------------
@@ -112,10 +119,11 @@ def tune_bias_curve(s: RatingSets, grid=GRID_BIAS, clamp: bool = False) -> DataF
     return tune_chain(s.train_set, s.cv_set, MU_KEYS, grid, train_base=s.mu, score_base=s.mu, clamp=clamp)
 
 
-def tune_time_curve(s: RatingSets, lam_b: float = LAMBDA_BIAS_CLAMPED, grid=GRID_TIME) -> DataFrame:
+def tune_time_curve(s: RatingSets, lam_b: float = LAMBDA_BIAS_CLAMPED, grid=GRID_TIME,
+                    bias_from: str = "training") -> DataFrame:
     """Year/month grid on train_set residuals of the clamped baseline whose
-    movie/user biases come from training_set; scored on cv_set."""
-    chain = movie_user_chain(s, lam_b)
+    movie/user biases come from ``bias_from``; scored on cv_set."""
+    chain = movie_user_chain(s, lam_b, bias_from)
     train = with_month(predict(s.train_set, chain, s.mu, name="baseline_pred", clamp=True))
     score = with_month(predict(s.cv_set, chain, s.mu, name="_mu_pred"))
     return tune_chain(train, score, TIME_KEYS, grid, train_base="baseline_pred", score_base="_mu_pred", clamp=True)
@@ -131,6 +139,23 @@ def best_param(curve: DataFrame) -> float:
     return float(argmin(curve).first()["param"])
 
 
+@dataclass(frozen=True)
+class Penalties:
+    bias: float
+    bias_clamped: float
+    time: float
+    sym: float
+
+
+def tuned(s: RatingSets, bias_from: str = "training") -> Penalties:
+    """The first minimum of every model's curve on these sets."""
+    def build():
+        clamped = best_param(tune_bias_curve(s, clamp=True))
+        return Penalties(best_param(tune_bias_curve(s)), clamped,
+                         best_param(tune_time_curve(s, clamped, bias_from=bias_from)), best_param(tune_sym_curve(s)))
+    return _memo(s, ("tuned", bias_from), build)
+
+
 def tuned_bias_predictions(s: RatingSets, clamp: bool = True) -> tuple[float, DataFrame]:
     lam = best_param(tune_bias_curve(s, clamp=clamp))
     return lam, bias_predictions(s, lam, clamp=clamp)

@@ -95,10 +95,10 @@ ML_COLS = ["movieId", "userId", "rating", "timestamp", "title", "genres"]
 TIDY_COLS = ["userId", "movieId", "rating", "rating_date", "release_year", "tidy_title", "genres"]
 
 
-def sets_ctes() -> str:
+def sets_ctes(p: float = HOLDOUT_FRACTION) -> str:
     """ratings, movies, joined, development/validation, training_set/test_set,
     train_set/cv_set and mu."""
-    outer = split_ctes("joined", "o", OUTER_SEED, ["userId", "movieId", "rating", "timestamp"], ML_COLS)
+    outer = split_ctes("joined", "o", OUTER_SEED, ["userId", "movieId", "rating", "timestamp"], ML_COLS, p)
     inner = split_ctes("training_set", "i", INNER_SEED, ["userId", "movieId", "rating", "rating_date"], TIDY_COLS)
     return f"""{RATINGS},
 {MOVIES},
@@ -114,8 +114,9 @@ cv_set AS (SELECT * FROM i_test),
 mu_t AS (SELECT avg(rating) AS mu FROM training_set)"""
 
 
-def with_sets(body: str, extra: str = "") -> str:
-    ctes = sets_ctes()
+def with_sets(body: str, extra: str = "", p: float = HOLDOUT_FRACTION) -> str:
+    """A statement over the sets; ``p`` is the outer hold-out's fraction."""
+    ctes = sets_ctes(p)
     if extra:
         ctes += ",\n" + extra
     return f"WITH {ctes}\n{body}"
@@ -125,9 +126,22 @@ def clamp(x: str) -> str:
     return f"(CASE WHEN {x} < 0.5 THEN CAST(0.5 AS DOUBLE) WHEN {x} > 5 THEN CAST(5 AS DOUBLE) ELSE {x} END)"
 
 
-def r6(x: str) -> str:
-    return f"round({x}, 6)"
+def normal_quantile(p: str) -> str:
+    """AS 241 in SQL, with the coefficients of functions.columns."""
+    from ratingspark.functions.columns import AS241
 
+    def poly(c, x):
+        out = dbl(c[-1])
+        for k in c[-2::-1]:
+            out = f"({out} * {x} + {dbl(k)})"
+        return out
 
-def strict_rmse(err: str, pred: str) -> str:
-    return f"CASE WHEN count({pred}) = count(*) THEN sqrt(avg(({err}) * ({err}))) END"
+    def ratio(part, x):
+        return f"({poly(part[0], x)} / {poly(part[1], x)})"
+
+    q = f"({p} - 0.5)"
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    centre = f"{q} * {ratio(AS241[0], f'({dbl(0.180625)} - {q} * {q})')}"
+    tail = (f"sign({q}) * CASE WHEN {r} <= 5 THEN {ratio(AS241[1], f'({r} - {dbl(1.6)})')} "
+            f"ELSE {ratio(AS241[2], f'({r} - {dbl(5.0)})')} END")
+    return f"CASE WHEN abs({q}) <= {dbl(0.425)} THEN {centre} ELSE {tail} END"

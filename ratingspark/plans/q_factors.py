@@ -11,8 +11,9 @@ from ratingspark.plans import factors as FX
 from ratingspark.plans import models as M
 from ratingspark.plans import oracle as O
 from ratingspark.plans.q_models import _SYM_FIT
-from ratingspark.plans.q_views import ARRANGE_BY, MIN_ITEM, MIN_USER, PATTERNS, TITLES, chosen_titles
+from ratingspark.plans.q_views import ARRANGE_BY, COLUMNS, MIN_ITEM, MIN_USER, PATTERNS, TITLES
 from ratingspark.plans.queries import r6, register, sets
+from ratingspark.session import cut_lineage
 from ratingspark.plans.sql_models import chain_pred, with_base
 
 _TSM = _SYM_FIT + ",\ntsm AS (SELECT *, rating - pred AS res FROM " + \
@@ -89,10 +90,10 @@ def mdl_svd_train(spark, sf_dir):
 def interact_view_final(spark, sf_dir):
     """Residual view after the SVD model (rating - final_pred)."""
     s = sets(spark, sf_dir)
-    tp = FX.svd_training_predictions(s)
+    tp = cut_lineage(FX.svd_training_predictions(s))  # read by both counts and for the rows
     cc = V.popular_active(tp, "movieId", "userId", MIN_ITEM, MIN_USER)
     sel = V.title_filter(cc, TITLES, PATTERNS).withColumn("res", F.col("rating") - F.col("final_pred"))
-    return r6(V.pivot_wide(sel, "userId", "tidy_title", "res", chosen_titles(sel), order_by=[ARRANGE_BY]))
+    return r6(V.pivot_wide(sel, "userId", "tidy_title", "res", COLUMNS, order_by=[ARRANGE_BY]))
 
 
 @register("tune_mf")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ratingspark.plans import models as M
 from ratingspark.plans import oracle as O
 from ratingspark.plans.q_models import _mu_chain_sql
-from ratingspark.plans.queries import TIDY, r6, register, sets
+from ratingspark.plans.queries import ORACLES, TIDY, r6, register, sets
 from ratingspark.plans.sql_models import chain_ctes, chain_pred, rmse_raw, with_base
 from ratingspark.sources import files as IO
 from ratingspark.sources.fixtures import ratings_from_events
@@ -78,11 +78,39 @@ def snk_pred(spark, sf_dir):
 
 @register("snk_metric")
 def snk_metric(spark, sf_dir):
-    """Model RMSE rows appended to a metrics table, read back."""
-    from ratingspark.plans.q_models import mdl_ladder
+    """Model RMSE rows appended to a metrics table at full precision, read
+    back (rounded only here, for the comparison)."""
+    from ratingspark.plans.q_models import ladder
     path = IO.scratch_path(spark, "metrics")
-    IO.append_metrics(mdl_ladder(spark, sf_dir), path, run="ladder")
-    return IO.read_metrics(spark, path)
+    IO.append_metrics(ladder(sets(spark, sf_dir)), path, run="ladder")
+    return r6(IO.read_metrics(spark, path))
+
+
+def _stored(spark, df, name):
+    path = IO.scratch_path(spark, name)
+    IO.write_table(df, path)
+    return IO.read_table(spark, path)
+
+
+@register("snk_curve", ORACLES["tune_bias_clamped"])
+def snk_curve(spark, sf_dir):
+    """A tuning curve stored at full precision and read back."""
+    return r6(_stored(spark, M.tune_bias_curve(sets(spark, sf_dir), clamp=True), "curve"))
+
+
+@register("snk_extreme", ORACLES["agg_extreme_rows"])
+def snk_extreme(spark, sf_dir):
+    """The rows with the lowest and highest prediction, stored and read back."""
+    from ratingspark.plans.q_models import extreme_rows
+    return r6(_stored(spark, extreme_rows(sets(spark, sf_dir)), "extreme"))
+
+
+@register("snk_pairs", O.with_sets("SELECT userId, movieId FROM test_set"))
+def snk_pairs(spark, sf_dir):
+    """Space-separated, header-less export of the user / movie pairs to score."""
+    path = IO.scratch_path(spark, "pairs")
+    IO.write_triplets(sets(spark, sf_dir).test_set, path, cols=("userId", "movieId"))
+    return IO.read_triplets(spark, path, "userId BIGINT, movieId BIGINT")
 
 
 @register("src_events", O.with_sets('SELECT userId, movieId, rating, "timestamp" FROM skewed', O.EVENTS))

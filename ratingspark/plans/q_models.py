@@ -123,18 +123,21 @@ ex AS ((SELECT *, 'min' AS which FROM pr WHERE pred IS NOT NULL
         ORDER BY pred DESC, userId, movieId, rating, rating_date LIMIT 1))""")
 
 
-@register("agg_extreme_rows", _EXTREME_SQL)
-def agg_extreme_rows(spark, sf_dir):
-    """Lowest and highest unclamped prediction, explained by biases and mu."""
-    s = sets(spark, sf_dir)
+def extreme_rows(s):
+    """Lowest and highest unclamped prediction with biases and mu, unrounded."""
     chain = M.movie_user_chain(s, M.LAMBDA_BIAS)
     pred = M.bias_predictions(s, M.LAMBDA_BIAS)
     ex = A.extreme_rows(pred, "pred", ["userId", "movieId", "rating", "rating_date"])
-    out = (ex.join(single(chain, 0, "movie_bias_reg"), "movieId", "left")
-             .join(single(chain, 1, "user_bias_reg"), "userId", "left")
-             .select("userId", "movieId", "rating", "tidy_title", F.col("pred").alias("rating_predicted"),
-                     "movie_bias_reg", "user_bias_reg", F.lit(s.mu).alias("global_mean"), "which"))
-    return r6(out)
+    return (ex.join(single(chain, 0, "movie_bias_reg"), "movieId", "left")
+              .join(single(chain, 1, "user_bias_reg"), "userId", "left")
+              .select("userId", "movieId", "rating", "tidy_title", F.col("pred").alias("rating_predicted"),
+                      "movie_bias_reg", "user_bias_reg", F.lit(s.mu).alias("global_mean"), "which"))
+
+
+@register("agg_extreme_rows", _EXTREME_SQL)
+def agg_extreme_rows(spark, sf_dir):
+    """Lowest and highest unclamped prediction, explained by biases and mu."""
+    return r6(extreme_rows(sets(spark, sf_dir)))
 
 
 # ---- tuning curves ----------------------------------------------------------
@@ -247,13 +250,34 @@ def mdl_sym(spark, sf_dir):
     return _scored(M.sym_predictions(s), "bias_time_sym", M.LAMBDA_SYM)
 
 
-@register("apply_bt", O.with_sets(
-    "SELECT " + ", ".join(TIDY) + ", rating_month, round(pred, 6) AS b_t_pred FROM "
-    + chain_pred("s", ALL, with_base("train_set", month=True), True) + " q", _SYM_FIT))
+def _apply_bt_sql(rel: str) -> str:
+    return O.with_sets("SELECT " + ", ".join(TIDY) + ", rating_month, round(pred, 6) AS b_t_pred FROM "
+                       + chain_pred("s", ALL, with_base(rel, month=True), True) + " q", _SYM_FIT)
+
+
+def _apply_bt(s, df):
+    return r6(M.with_bt(s, df).select(*TIDY, "rating_month", "b_t_pred"))
+
+
+@register("apply_bt", _apply_bt_sql("train_set"))
 def apply_bt(spark, sf_dir):
     """train_set_modified: + rating_month, + b_t_pred."""
     s = sets(spark, sf_dir)
-    return r6(M.with_bt(s, s.train_set).select(*TIDY, "rating_month", "b_t_pred"))
+    return _apply_bt(s, s.train_set)
+
+
+@register("apply_bt_cv", _apply_bt_sql("cv_set"))
+def apply_bt_cv(spark, sf_dir):
+    """cv_set_modified: + rating_month, + b_t_pred."""
+    s = sets(spark, sf_dir)
+    return _apply_bt(s, s.cv_set)
+
+
+@register("apply_bt_training", _apply_bt_sql("training_set"))
+def apply_bt_training(spark, sf_dir):
+    """training_set_modified: + rating_month, + b_t_pred."""
+    s = sets(spark, sf_dir)
+    return _apply_bt(s, s.training_set)
 
 
 # ---- residual trends ----------------------------------------------------------
@@ -291,15 +315,29 @@ def agg_resid_month(spark, sf_dir):
     return r6(A.mean_by(base, "rating_month", F.col("rating") - F.col("baseline_pred")))
 
 
-@register("flt_limits", O.with_sets(
-    "SELECT * FROM (SELECT release_year, round(avg(rating - baseline_pred), 6) AS avg_res, count(*) AS n "
-    "FROM tt GROUP BY release_year) WHERE avg_res BETWEEN -0.06 AND 0.25", _BASE_SQL))
+def _limits_sql(key: str) -> str:
+    return O.with_sets(
+        f"SELECT {key}, round(avg_res, 6) AS avg_res, n FROM (SELECT {key}, avg(rating - baseline_pred) AS avg_res, "
+        f"count(*) AS n FROM tt GROUP BY {key}) WHERE avg_res BETWEEN -0.06 AND 0.25", _BASE_SQL)
+
+
+def _inside_limits(df, key):
+    out = A.mean_by(df, key, F.col("rating") - F.col("baseline_pred"))
+    return r6(out.filter(F.col("avg_res").between(-0.06, 0.25)))   # unrounded means
+
+
+@register("flt_limits", _limits_sql("release_year"))
 def flt_limits(spark, sf_dir):
     """Residual-by-year points inside the chart's axis range [-0.06, 0.25]."""
     s = sets(spark, sf_dir)
-    base = M.with_baseline(s, s.training_set)
-    out = r6(A.mean_by(base, "release_year", F.col("rating") - F.col("baseline_pred")))
-    return out.filter(F.col("avg_res").between(-0.06, 0.25))
+    return _inside_limits(M.with_baseline(s, s.training_set), "release_year")
+
+
+@register("flt_limits_month", _limits_sql("rating_month"))
+def flt_limits_month(spark, sf_dir):
+    """Residual-by-month points inside the same axis range."""
+    s = sets(spark, sf_dir)
+    return _inside_limits(M.with_month(M.with_baseline(s, s.training_set)), "rating_month")
 
 
 @register("fn_round_month", O.with_sets(
@@ -313,18 +351,22 @@ def fn_round_month(spark, sf_dir):
 
 # ---- the ladder -----------------------------------------------------------------
 
-@register("mdl_ladder")
-def mdl_ladder(spark, sf_dir):
-    """model -> RMSE on test_set for every bias model, against the goal."""
-    s = sets(spark, sf_dir)
-    parts = [
-        A.rmse(M.naive_predictions(s)).select(F.lit("naive").alias("model"), F.lit(None).cast("double").alias("param"), "rmse", "n", "n_missing"),
-        A.rmse(M.bias_predictions(s, M.LAMBDA_BIAS)).select(F.lit("bias").alias("model"), F.lit(M.LAMBDA_BIAS).alias("param"), "rmse", "n", "n_missing"),
-        A.rmse(M.bias_predictions(s, M.LAMBDA_BIAS_CLAMPED, clamp=True)).select(F.lit("bias_clamped").alias("model"), F.lit(M.LAMBDA_BIAS_CLAMPED).alias("param"), "rmse", "n", "n_missing"),
-        A.rmse(M.time_predictions(s)).select(F.lit("bias_time").alias("model"), F.lit(M.LAMBDA_TIME).alias("param"), "rmse", "n", "n_missing"),
-        A.rmse(M.sym_predictions(s)).select(F.lit("bias_time_sym").alias("model"), F.lit(M.LAMBDA_SYM).alias("param"), "rmse", "n", "n_missing"),
-    ]
+def ladder(s):
+    """(model, param, rmse, n, n_missing) of every bias model, unrounded."""
+    scored = [("naive", None, M.naive_predictions(s)),
+              ("bias", M.LAMBDA_BIAS, M.bias_predictions(s, M.LAMBDA_BIAS)),
+              ("bias_clamped", M.LAMBDA_BIAS_CLAMPED, M.bias_predictions(s, M.LAMBDA_BIAS_CLAMPED, clamp=True)),
+              ("bias_time", M.LAMBDA_TIME, M.time_predictions(s)),
+              ("bias_time_sym", M.LAMBDA_SYM, M.sym_predictions(s))]
+    parts = [A.rmse(pred).select(F.lit(model).alias("model"), F.lit(param).cast("double").alias("param"),
+                                 "rmse", "n", "n_missing") for model, param, pred in scored]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return r6(out.withColumn("below_goal", F.col("rmse") < F.lit(0.8649)))
+    return out
+
+
+@register("mdl_ladder")
+def mdl_ladder(spark, sf_dir):
+    """model -> RMSE on test_set for every bias model, against the goal."""
+    return r6(ladder(sets(spark, sf_dir)).withColumn("below_goal", F.col("rmse") < F.lit(0.8649)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingspark.plans import oracle as O
-from ratingspark.plans.pipeline import RatingSets
+from ratingspark.plans.pipeline import HOLDOUT_FRACTION, RatingSets
 from ratingspark.session import apply_session_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,16 +44,31 @@ def r6(df: DataFrame) -> DataFrame:
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
-_SETS: dict[tuple, RatingSets] = {}
+_SETS: dict[tuple, tuple[tuple, RatingSets]] = {}
 
 
-def sets(spark: SparkSession, sf_dir: str) -> RatingSets:
-    """One cached RatingSets per (session, input directory)."""
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and modification time of the rating tables' files: sets built
+    from other contents are not used again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for t in ("part", "orders", "lineitem", "events"):
+        p = path(f"{sf_dir}/{t}.parquet")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            out.append((t, fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(out)
+
+
+def sets(spark: SparkSession, sf_dir: str, fraction: float = HOLDOUT_FRACTION) -> RatingSets:
+    """One RatingSets per (session, input directory, hold-out fraction), as
+    long as the input files stay the same."""
     apply_session_settings(spark)
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _SETS:
-        _SETS[key] = RatingSets(spark, sf_dir)
-    return _SETS[key]
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, fraction)
+    stamp = _stamp(spark, sf_dir)
+    if key not in _SETS or _SETS[key][0] != stamp:
+        _SETS[key] = (stamp, RatingSets(spark, sf_dir, fraction=fraction))
+    return _SETS[key][1]
 
 
 def _sel(src: str, cols: list[str]) -> str:
