@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
+    if os.environ.get("SPARK_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["SPARK_DRIVER_MEMORY"]
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -47,12 +49,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def apply_session_settings(spark: SparkSession) -> None:
     """Pin the runtime settings the operators' semantics depend on."""
+    workers_find_package(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+    That reaches workers that share the driver's files (local mode); on a
+    cluster the package is shipped with --py-files or installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -66,7 +80,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
         d = tempfile.mkdtemp(prefix="ratingspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
