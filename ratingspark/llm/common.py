@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingspark.session import checkpoint_dir
+from ratingspark.session import checkpoint_dir, workers_find_package
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,6 +43,7 @@ class Scratch:
     later jobs neither recompute them nor depend on one executor's disk."""
 
     def __init__(self, spark: SparkSession):
+        workers_find_package(spark)
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.n = 0

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingspark.llm.common import table
+from ratingspark.session import workers_find_package
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -13,7 +16,12 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def put(f):
-        QUERIES[name] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_find_package(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return f
