@@ -54,3 +54,23 @@ def test_chain_of_links(spark, percent):
     want = brute.near_components(rows, percent)
     got = {r["row"]["doc_id"]: r["component_id"] for r in near_components(docs, percent=percent).collect()}
     assert got == {d: c for d, (_, c) in want.items()}
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_crowded_blocks(spark, block):
+    """Many variants of one text around the threshold, compared in blocks."""
+    import random
+    r = random.Random(6)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for k in range(70):
+        words = list(base)
+        for i in r.sample(range(120), r.choice([0, 1, 1, 2, 3, 3, 4])):
+            words[i] = f"n{k}x{i}"
+        rows.append((k + 5, " ".join(words)))
+    rows.append((0, " ".join(base[:60] + [f"z{i}" for i in range(60)])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute.near_components(rows)
+    assert len({c for _, c in want.values()}) > 5
+    got = {x["row"]["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_components(docs, hot=2, block=block).collect()}
+    assert got == want
