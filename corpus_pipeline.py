@@ -29,5 +29,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
+        made = len(Scratch.made)
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        Scratch.clear(made)   # the stage's own tables; its result is stored
     return STAGES[-1][1](spark, docs, sf_dir)

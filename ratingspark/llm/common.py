@@ -38,12 +38,23 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers: batches are bounded by rows and bytes,
+    as Spark's default of 10,000 rows takes hundreds of megabytes a task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 class Scratch:
     """Tables in the shared checkpoint folder, written once and read back, so
     later jobs neither recompute them nor depend on one executor's disk."""
 
+    made: list[Scratch] = []
+
     def __init__(self, spark: SparkSession):
         workers_find_package(spark)
+        small_batches(spark)
+        Scratch.made.append(self)
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.n = 0
@@ -61,6 +72,14 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         return self.write(df)[0]
 
+    @staticmethod
+    def clear(since: int) -> None:
+        """Delete all tables of the scratches made after the first ``since``,
+        once what was computed from them is stored elsewhere."""
+        while len(Scratch.made) > since:
+            old = Scratch.made.pop()
+            old.drop(old.base)
+
     def drop(self, path: str) -> None:
         """Delete a table that nothing will read again."""
         jvm = self.spark._jvm
