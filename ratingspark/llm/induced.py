@@ -166,7 +166,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     counts = np.bincount(t)
     back = np.cumsum(counts) - 1
     front = back - counts + 1
-    queue = array(n, np.int64, -1)
+    queue = array(n, np.int32 if n < 1 << 31 else np.int64, -1)
     symbols = t[sorted_lms]
     # LMS suffixes at the backs of their symbols
     last = np.cumsum(np.bincount(symbols, minlength=len(counts)))

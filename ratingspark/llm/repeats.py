@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from ratingspark.llm.induced import suffix_array
 SIZE = 200
 K = 64                        # anchor length
 BLOCK = 1 << 20               # windows looked at at once
-SHARD_BYTES = 3 << 19         # class bytes in a shard, on average
+SHARD_BYTES = 1 << 20         # class bytes in a shard, on average
 LARGE_ANCHOR_BYTES = 4 << 20  # an anchor with more is split by windows
 
 _BYTES = np.random.default_rng(20240601).integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
@@ -188,24 +189,26 @@ def _window_rows(size: int):
     return run
 
 
-def _merge(size: int):
-    """mapInArrow function: (uid, parts) -> (uid, cuts): the byte ranges of a
-    document to remove, merged and sorted."""
-    cuts = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for parts in batch.column("parts").to_pylist():
-                merged: list[list[int]] = []
-                for lo, hi in sorted((p["pos"] + s["lo"], p["pos"] + s["hi"] - 1 + size) for p in parts for s in p["spans"]):
-                    if merged and lo <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], hi)
-                    else:
-                        merged.append([lo, hi])
-                out.append([{"lo": a, "hi": b} for a, b in merged])
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(out, cuts)], names=["uid", "cuts"])
-    return run
+def _merge(batches):
+    """Rows (uid, lo, hi), sorted by uid and lo -> the same with overlapping
+    and touching ranges of a uid merged. The open range of the last uid waits
+    for the next batch."""
+    schema = pa.schema([("uid", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+    wait = [np.empty(0, np.int64)] * 3
+    for batch in chain(batches, [None]):
+        uid, lo, hi = wait if batch is None else (
+            np.concatenate([w, batch.column(c).to_numpy(zero_copy_only=False)]) for w, c in zip(wait, schema.names))
+        if not len(uid):
+            continue
+        base = np.cumsum(np.diff(uid, prepend=uid[:1]) != 0) << 40     # keeps documents apart
+        top = np.maximum.accumulate(base + hi)
+        first = np.append(0, np.flatnonzero(base[1:] + lo[1:] > top[:-1]) + 1)
+        last = np.append(first[1:], len(uid)) - 1
+        merged = [uid[first], lo[first], (top - base)[last]]
+        if batch is not None:
+            wait = [m[-1:] for m in merged]
+            merged = [m[:-1] for m in merged]
+        yield pa.RecordBatch.from_arrays([pa.array(m) for m in merged], schema=schema)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, k: int = K,
@@ -233,7 +236,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     # bytes of the classes to compare
     wanted = scratch.keep(classes.join(several.select("anchor", F.col("bytes").alias("anchor_bytes")), "anchor"))
     binary = F.col("text").cast("binary")
-    bytes_of = rows.select("uid", "text").join(small_or_not(wanted, 64), "uid").select(
+    bytes_of = rows.select("uid", "text").join(wanted, "uid").select(
         "anchor", "body", "members", "anchor_bytes",
         F.substring(binary, (F.col("pos") + 1).cast("int"), (F.col("n") + size - 1).cast("int")).alias("bytes"))
     bytes_of = scratch.keep(bytes_of)
@@ -250,9 +253,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
             F.collect_list(F.struct(F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"))).cast(SPANS).alias("spans"))
         spans = spans.unionByName(hit)
     spans = scratch.keep(spans.where(F.size("spans") > 0))
-    parts = (found.select("anchor", "body", "uid", "pos").join(spans, ["anchor", "body"])
-                  .groupBy("uid").agg(F.collect_list(F.struct("pos", "spans")).alias("parts")))
-    cuts = scratch.keep(parts.mapInArrow(_merge(size), "uid bigint, cuts array<struct<lo:bigint,hi:bigint>>"))
+    ranges = (found.select("anchor", "body", "uid", "pos").join(spans, ["anchor", "body"])
+                   .select("uid", "pos", F.explode("spans").alias("s"))
+                   .select("uid", (F.col("pos") + F.col("s.lo")).alias("lo"), (F.col("pos") + F.col("s.hi") - 1 + size).alias("hi")))
+    merged = ranges.repartition("uid").sortWithinPartitions("uid", "lo").mapInArrow(_merge, "uid bigint, lo bigint, hi bigint")
+    cuts = scratch.keep(merged.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("cuts")))
     n_cuts = cuts.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0]
     n_docs = max(1, cuts.count())
     joined = rows.join(small_or_not(cuts, 32 + 16 * math.ceil(n_cuts / n_docs)), "uid", "left")
