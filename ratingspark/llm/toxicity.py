@@ -9,8 +9,16 @@ both classes together, interpolated down to single bytes with absolute
 discounting. So what neither class has seen in full counts for neither side.
 
 A text's evidence is its log-likelihood under the toxic model minus that under
-the ordinary one, per byte, over the whole text and over its most toxic
-PHRASE bytes. A logistic function of the two, fitted on labelled rows that
+the ordinary one: per byte over the whole text, and summed over its most toxic
+PHRASE bytes. The second is a maximum over all windows of the text and would
+grow with its length, so it counts only as its surprise: minus the logarithm
+of how many windows as toxic as that an ordinary text of as many windows is
+expected to have. That rate is read from ordinary labelled rows that were not
+counted: texts whose maximum reaches a level per window looked at (a text is
+one event, however often it repeats a phrase), above the level that TAIL texts
+reach by an exponential tail. A long ordinary text is thus no more suspicious
+than a short one. A logistic function of evidence per byte and surprise, with
+coefficients of at least 0, fitted on the same rows and the toxic ones that
 were not counted, gives the score.
 
 Counts come from all training rows. N-gram tables stay in Spark; each context
@@ -32,7 +40,7 @@ result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +56,10 @@ PHRASE = 12
 THRESHOLD = 0.3
 HELD_OUT, CALIBRATION = 2, 3
 REGULARISATION = 1e-3
-DEFAULT_FIT = (1.0, 0.4, -4.0)   # per-byte evidence, phrase evidence, intercept
+DEFAULT_FIT = (1.0, 0.4, -4.0)   # per-byte evidence, surprise of the phrase, intercept
+STEP = 8          # levels of the phrase evidence per unit
+TAIL = 20         # texts that reach the last level of the curve
+LEAST_EXCESS = 0.25
 
 _CODES = np.arange(256, dtype=np.int64)
 _CODES[65:91] = _CODES[97:123]
@@ -69,21 +80,35 @@ def slot(x: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % slots
 
 
-@dataclass
-class Model:
-    grams: np.ndarray      # evidence of an n-gram that was seen, by slot; NaN: not seen
-    contexts: np.ndarray   # evidence of an unseen continuation of a context; 0: context not seen
-    fit: tuple[float, float, float]
+@dataclass(frozen=True)
+class Judge:
+    """How evidence becomes a score. ``rarity``: minus the logarithm of the
+    rate per window at which ordinary texts reach a level of phrase evidence;
+    it rises by 1 / ``excess`` above the last level."""
 
+    levels: tuple[float, ...] = (0.0,)
+    rarity: tuple[float, ...] = (0.0,)
+    excess: float = 1.0
+    fit: tuple[float, float, float] = DEFAULT_FIT
 
-def evidence(text: str, grams: np.ndarray, contexts: np.ndarray) -> tuple[float, float]:
-    """(per byte of the text, sum over its most toxic PHRASE bytes)."""
+    def surprise(self, phrase: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        over = np.maximum(phrase - self.levels[-1], 0.0) / self.excess
+        return np.interp(phrase, self.levels, self.rarity) + over - np.log(windows)
+
+    def score(self, whole: np.ndarray, phrase: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        a, b, c = self.fit
+        return 1 / (1 + np.exp(-(a * whole + b * self.surprise(phrase, windows) + c)))
+
+
+def evidence(text: str, grams: np.ndarray, contexts: np.ndarray) -> tuple[float, float, int]:
+    """(per byte of the text, sum over its most toxic PHRASE bytes, windows of
+    PHRASE bytes it has)."""
     h = ngrams(text)
     v = grams[slot(h, len(grams))]
     v = np.where(np.isnan(v), contexts[slot(h >> 8, len(contexts))], v).astype(np.float64)
     c = np.concatenate([[0.0], np.cumsum(v)])
     phrase = (c[PHRASE:] - c[:-PHRASE]).max() if len(v) > PHRASE else c[-1]
-    return float(c[-1] / len(v)), float(phrase)
+    return float(c[-1] / len(v)), float(phrase), max(len(v) - PHRASE + 1, 1)
 
 
 def fold(key: Column) -> Column:
@@ -165,24 +190,26 @@ def _dense(table: DataFrame, key: str, slots: int, empty: float) -> np.ndarray:
     return out
 
 
-def _score_rows(model, names: list[str]):
-    """mapInArrow function: adds the two kinds of evidence; ``model`` is a
-    broadcast pair of arrays."""
+def _evidence_rows(model, judge: Judge | None):
+    """mapInArrow function: adds the evidence, or the score of ``judge``;
+    ``model`` is a broadcast pair of arrays."""
 
     def run(batches):
         grams, contexts = model.value
         for batch in batches:
             got = [evidence(t.as_py(), grams, contexts) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.float64())],
-                names=names)
+            whole, phrase, windows = np.array(got, np.float64).reshape(-1, 3).T
+            found = {"score": judge.score(whole, phrase, windows)} if judge else {
+                "whole": whole, "phrase": phrase, "windows": windows}
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, found.values())], names=["row", *found])
     return run
 
 
-def _with_evidence(docs: DataFrame, text: str, arrays) -> DataFrame:
+def _with_evidence(docs: DataFrame, text: str, arrays, judge: Judge | None = None) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_score_rows(arrays, ["row", "whole", "phrase"]), f"row {kind}, whole double, phrase double")
+    return rows.mapInArrow(_evidence_rows(arrays, judge), f"row {kind}, " + (
+        "score double" if judge else "whole double, phrase double, windows double"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
@@ -196,7 +223,7 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFra
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS):
-    """(broadcast arrays, coefficients) learnt from the labelled rows."""
+    """(broadcast arrays, judge) learnt from the labelled rows."""
     scratch = Scratch(docs.sparkSession)
     rows = labelled(docs, labels, key, text)
     counts = (rows.where(F.col("fold") != CALIBRATION).mapInArrow(_count, "gram bigint, n0 bigint, n1 bigint")
@@ -205,29 +232,56 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     arrays = docs.sparkSession.sparkContext.broadcast(
         (_dense(grams, "gram", slots, np.nan), _dense(contexts, "context", slots, 0.0)))
     seen = scratch.keep(_with_evidence(rows.where(F.col("fold") == CALIBRATION).select("text", "toxic"), "text", arrays)
-                        .select("whole", "phrase", F.col("row.toxic").cast("double").alias("label")))
-    return arrays, fit(seen)
-
-
-def fit(seen: DataFrame) -> tuple[float, float, float]:
-    """Coefficients of a logistic regression on (whole, phrase, label)."""
+                        .select("whole", "phrase", "windows", F.col("row.toxic").cast("double").alias("label")))
+    return arrays, fit(seen, curve(seen))
+
+
+def curve(seen: DataFrame) -> Judge:
+    """The rarity of phrase evidence in ordinary texts. Evidence is a sum of
+    PHRASE logarithms, so there are a few thousand levels at most."""
+    rows = (seen.where("label = 0").groupBy((F.floor(F.col("phrase") * STEP) / STEP).alias("level"))
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("windows").alias("windows"), F.sum("phrase").alias("phrase"))
+                .orderBy("level").collect())
+    if not rows:
+        return Judge()
+    level, n, windows, phrase = np.array(rows, np.float64).T
+    reach = lambda x: np.cumsum(x[::-1])[::-1]
+    # texts that reach the level, over the windows of the others and half their own
+    rate = reach(n) / (windows.sum() - reach(windows) / 2)
+    last = max(int(np.searchsorted(-reach(n), -TAIL, side="right")) - 1, 0)
+    excess = reach(phrase)[last] / reach(n)[last] - level[last]
+    return Judge(tuple(level[:last + 1].tolist()), tuple((-np.log(rate[:last + 1])).tolist()),
+                 float(max(excess, LEAST_EXCESS)))
+
+
+def fit(seen: DataFrame, judge: Judge) -> Judge:
+    """``judge`` with the coefficients of a logistic regression on (whole,
+    surprise, label)."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.linalg import Matrices
+
+    def surprises(batches):
+        for batch in batches:
+            s = judge.surprise(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("phrase", "windows")))
+            yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(s), batch.column("label")],
+                                             names=["whole", "surprise", "label"])
 
     if seen.select("label").distinct().count() < 2:
-        return DEFAULT_FIT
-    data = VectorAssembler(inputCols=["whole", "phrase"], outputCol="features").transform(seen)
-    m = LogisticRegression(regParam=REGULARISATION, maxIter=100, tol=1e-9).fit(data)
-    return float(m.coefficients[0]), float(m.coefficients[1]), float(m.intercept)
+        return judge
+    data = VectorAssembler(inputCols=["whole", "surprise"], outputCol="features").transform(
+        seen.mapInArrow(surprises, "whole double, surprise double, label double"))
+    m = LogisticRegression(regParam=REGULARISATION, maxIter=100, tol=1e-9,
+                           lowerBoundsOnCoefficients=Matrices.dense(1, 2, [0.0, 0.0])).fit(data)
+    return replace(judge, fit=(float(m.coefficients[0]), float(m.coefficients[1]), float(m.intercept)))
 
 
 def score_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``row`` (struct of all columns), held_out, score, predicted."""
-    arrays, (a, b, c) = train(train_docs, labels, key, text)
-    out = _with_evidence(docs, text, arrays)
-    score = 1 / (1 + F.exp(-(F.lit(a) * F.col("whole") + F.lit(b) * F.col("phrase") + F.lit(c))))
-    return (out.select("row", held_out(F.col("row").getField(key)).alias("held_out"), score.alias("score"))
+    arrays, judge = train(train_docs, labels, key, text)
+    out = _with_evidence(docs, text, arrays, judge)
+    return (out.select("row", held_out(F.col("row").getField(key)).alias("held_out"), "score")
                .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 

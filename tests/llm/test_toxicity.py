@@ -15,6 +15,7 @@ from ratingspark.llm import queries as Q
 from ratingspark.llm import toxicity as X
 from tests.conftest import SF_MED, SF_SMALL
 
+SF_LARGE = "/root/testdata/sf0.1"
 RUDE = ["idiot", "moron", "scum", "worthless"]
 
 
@@ -144,3 +145,20 @@ def test_stage_keeps_columns(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     left = stages.toxicity(spark, docs, SF_SMALL)
     assert left.columns == docs.columns and 0 < left.count() <= docs.count()
+
+
+def test_length_alone_is_not_toxic(spark):
+    """Held-out ordinary documents of sf0.1 joined into long texts stay
+    ordinary; joined toxic ones stay toxic."""
+    docs, labels = (spark.read.parquet(f"{SF_LARGE}/{t}.parquet") for t in ("documents", "labels"))
+    held = docs.join(labels.where("toxic is not null"), "doc_id").where(X.held_out(F.col("doc_id"))).select(
+        "doc_id", "text", "toxic").orderBy("doc_id").collect()
+    r, rows = random.Random(0), []
+    for toxic in (0, 1):
+        texts = [x["text"] for x in held if x["toxic"] == toxic]
+        rows += [(toxic * 1000 + k, " ".join(r.choices(texts, k=k))) for k in (20, 100) for _ in range(40)]
+    joined = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = X.score_documents(joined, docs, labels).groupBy("row.doc_id").agg(F.avg("predicted")).collect()
+    share = dict(tuple(x) for x in got)
+    assert share[20] <= 0.05 and share[100] <= 0.05
+    assert share[1020] >= 0.95 and share[1100] >= 0.95
