@@ -23,12 +23,14 @@ were not counted, gives the score.
 
 Counts come from all training rows. N-gram tables stay in Spark; each context
 has at most 256 continuations, so windows over a context are bounded. The
-finished model is two arrays of SLOTS numbers (n-grams and contexts by hashed
-slot, the more frequent one where two meet), whatever the corpus: that is the
-bound of what is collected and broadcast.
+finished model has every n-gram and context under its exact key. Up to
+TABLE_BYTES, by its counted entries, it is collected and broadcast as sorted
+arrays; a larger one stays a table, which the distinct n-grams of each chunk
+of documents are joined with, and chunks meet their values in a cogroup.
 
 Rows are split by crc32(doc_id as text) mod 4: 2 is held out and never read
-here, 3 fits the logistic function, 0 and 1 are counted. Labels are joined by
+here, 0 and 1 are counted and 3 fits the curve and the logistic function. Then
+0, 1 and 3 are counted again for the model that scores. Labels are joined by
 doc_id: of repeated labels the largest counts, NULL labels and ids are left
 out.
 
@@ -47,10 +49,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratingspark.llm.common import Scratch, small_or_not
+from ratingspark.llm.common import Scratch, chunks, small_or_not
 
 ORDER = 4
-SLOTS = 1 << 22
+TABLE_BYTES = 32 * 1024 * 1024   # largest model that is collected and broadcast
+ENTRY_BYTES = 8
+CONTEXT = 1 << 8 * ORDER   # keys of contexts start here, those of n-grams are smaller
 DISCOUNT = 0.75
 PHRASE = 12
 THRESHOLD = 0.3
@@ -76,8 +80,43 @@ def ngrams(text: str) -> np.ndarray:
     return h
 
 
-def slot(x: np.ndarray, slots: int = SLOTS) -> np.ndarray:
-    return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % slots
+def slot(x: np.ndarray) -> np.ndarray:
+    """The keys of n-grams or contexts in a Table: exact, as ORDER bytes fit."""
+    return x.astype(np.uint32)
+
+
+class Table:
+    """Values by sorted key; ``empty`` for keys that are not in it."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, empty: float):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.values, self.empty = slot(keys[order]), values[order].astype(np.float32), np.float32(empty)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        return np.array(self.values, dtype)
+
+    def __getitem__(self, x: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(np.shape(x), self.empty)
+        i = np.minimum(np.searchsorted(self.keys, x), len(self.keys) - 1)
+        return np.where(self.keys[i] == x, self.values[i], self.empty)
+
+
+def tables(keys: np.ndarray, values: np.ndarray) -> tuple[Table, Table]:
+    """Evidence of n-grams that were seen (NaN: not seen) and of unseen
+    continuations of contexts (0: context not seen)."""
+    whole = keys < CONTEXT
+    return Table(keys[whole], values[whole], np.nan), Table(keys[~whole] - CONTEXT, values[~whole], 0.0)
+
+
+@dataclass(frozen=True)
+class Stored:
+    """A model too large to broadcast: a table of (key, value)."""
+
+    entries: DataFrame
 
 
 @dataclass(frozen=True)
@@ -100,12 +139,13 @@ class Judge:
         return 1 / (1 + np.exp(-(a * whole + b * self.surprise(phrase, windows) + c)))
 
 
-def evidence(text: str, grams: np.ndarray, contexts: np.ndarray) -> tuple[float, float, int]:
+def evidence(text: str, grams: Table, contexts: Table) -> tuple[float, float, int]:
     """(per byte of the text, sum over its most toxic PHRASE bytes, windows of
     PHRASE bytes it has)."""
     h = ngrams(text)
-    v = grams[slot(h, len(grams))]
-    v = np.where(np.isnan(v), contexts[slot(h >> 8, len(contexts))], v).astype(np.float64)
+    v = grams[slot(h)].astype(np.float64)
+    new = np.isnan(v)
+    v[new] = contexts[slot(h[new] >> 8)]
     c = np.concatenate([[0.0], np.cumsum(v)])
     phrase = (c[PHRASE:] - c[:-PHRASE]).max() if len(v) > PHRASE else c[-1]
     return float(c[-1] / len(v)), float(phrase), max(len(v) - PHRASE + 1, 1)
@@ -134,7 +174,7 @@ def _count(batches):
 
 
 def model_tables(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(gram, weight, value) and (context, weight, value) of the two models."""
+    """(gram, value) and (context, value) of the two models."""
     back = None
     levels = []
     level = counts.select(F.col("gram").alias("g"))
@@ -164,52 +204,89 @@ def model_tables(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFr
         rest = F.when(F.col("t" + c) > 0, d * F.col("u" + c) / F.col("t" + c)).otherwise(F.lit(1.0))
         full = full.withColumn("rest" + c, rest).withColumn(
             "p" + c, F.greatest(n - d, F.lit(0.0)) / F.greatest(F.col("t" + c), F.lit(1)) + F.col("rest" + c) * F.col("p"))
-    full = scratch.keep(full.select("gram", "context", (F.col("n0") + F.col("n1")).alias("weight"),
-                                    F.ln(F.col("p1") / F.col("p0")).alias("value"),
+    full = scratch.keep(full.select("gram", "context", F.ln(F.col("p1") / F.col("p0")).alias("value"),
                                     F.ln(F.col("rest1") / F.col("rest0")).alias("unseen")))
-    return (full.select("gram", "weight", "value"),
-            full.groupBy("context").agg(F.sum("weight").alias("weight"), F.first("unseen").alias("value")))
+    return full.select("gram", "value"), full.groupBy("context").agg(F.first("unseen").alias("value"))
 
 
-def _dense(table: DataFrame, key: str, slots: int, empty: float) -> np.ndarray:
-    """An array of ``slots`` values; of rows that share a slot the one with
-    the largest weight counts. At most ``slots`` rows are collected."""
+def learn(rows: DataFrame, limit: int = TABLE_BYTES):
+    """The model of (text, toxic) rows: a broadcast pair of Tables, or Stored
+    if its entries take more than ``limit`` bytes."""
+    scratch = Scratch(rows.sparkSession)
+    counts = rows.mapInArrow(_count, "gram bigint, n0 bigint, n1 bigint").groupBy("gram").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    grams, contexts = model_tables(scratch.keep(counts), scratch)
+    value = F.col("value").cast("float").alias("value")
+    entries = scratch.keep(grams.select(F.col("gram").alias("key"), value).unionByName(
+        contexts.select((F.col("context") + CONTEXT).alias("key"), value)))
+    if entries.count() * ENTRY_BYTES > limit:
+        return Stored(entries)
+    got = entries.toPandas()
+    return rows.sparkSession.sparkContext.broadcast(tables(got["key"].to_numpy(), got["value"].to_numpy()))
 
-    def rows(batches):
-        for batch in batches:
-            k = batch.column("key").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(slot(k, slots)), batch.column("key"), batch.column("weight"),
-                                              batch.column("value")], names=["slot", "key", "weight", "value"])
 
-    best = (table.select(F.col(key).alias("key"), "weight", "value")
-                 .mapInArrow(rows, "slot bigint, key bigint, weight bigint, value double")
-                 .groupBy("slot").agg(F.max_by("value", F.struct("weight", "key")).alias("value")))
-    got = best.toPandas()
-    out = np.full(slots, empty, np.float32)
-    out[got["slot"].to_numpy()] = got["value"].to_numpy()
-    return out
+def _found(row, texts, model: tuple[Table, Table], judge: Judge | None) -> dict:
+    """Columns: ``row`` and the evidence of the texts, or their score."""
+    got = [evidence(t.as_py(), *model) for t in texts]
+    whole, phrase, windows = np.array(got, np.float64).reshape(-1, 3).T
+    if judge:
+        return {"row": row, "score": pa.array(judge.score(whole, phrase, windows))}
+    return {"row": row, "whole": pa.array(whole), "phrase": pa.array(phrase), "windows": pa.array(windows)}
 
 
 def _evidence_rows(model, judge: Judge | None):
-    """mapInArrow function: adds the evidence, or the score of ``judge``;
-    ``model`` is a broadcast pair of arrays."""
+    """mapInArrow function; ``model`` is a broadcast pair of Tables."""
 
     def run(batches):
-        grams, contexts = model.value
         for batch in batches:
-            got = [evidence(t.as_py(), grams, contexts) for t in batch.column("text")]
-            whole, phrase, windows = np.array(got, np.float64).reshape(-1, 3).T
-            found = {"score": judge.score(whole, phrase, windows)} if judge else {
-                "whole": whole, "phrase": phrase, "windows": windows}
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, found.values())], names=["row", *found])
+            found = _found(batch.column("row"), batch.column("text"), model.value, judge)
+            yield pa.RecordBatch.from_arrays(list(found.values()), names=list(found))
     return run
 
 
-def _with_evidence(docs: DataFrame, text: str, arrays, judge: Judge | None = None) -> DataFrame:
+def _number_chunks(batches):
+    """(row, text) -> (chunk, row, text), chunks bounded by their bytes."""
+    from pyspark import TaskContext
+
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for lo, hi in chunks([t or "" for t in batch.column("text").to_pylist()]):
+            part = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * (hi - lo), pa.int64()), part.column("row"), part.column("text")],
+                                             names=["chunk", "row", "text"])
+            chunk += 1
+
+
+def _asked(batches):
+    """(chunk, text) -> (chunk, key) of the model's entries a text can need."""
+    for batch in batches:
+        owner = batch.column("chunk").to_numpy(zero_copy_only=False)
+        for chunk in np.unique(owner):
+            h = np.unique(np.concatenate([ngrams(batch.column("text")[int(i)].as_py()) for i in np.flatnonzero(owner == chunk)]))
+            keys = np.concatenate([h, np.unique(h >> 8) + CONTEXT])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys)], names=["chunk", "key"])
+
+
+def _by_joins(rows: DataFrame, model: Stored, judge: Judge | None, kind: str, schema: str) -> DataFrame:
+    """The same rows without a broadcast: a chunk asks for each key once, so no
+    key has more rows than there are chunks."""
+    rows = Scratch(rows.sparkSession).keep(rows.mapInArrow(_number_chunks, f"chunk bigint, row {kind}, text string"))
+    values = rows.select("chunk", "text").mapInArrow(_asked, "chunk bigint, key bigint").join(model.entries, "key")
+
+    def run(texts, known):
+        pair = tables(known.column("key").to_numpy(), known.column("value").to_numpy())
+        return pa.table(_found(texts.column("row"), texts.column("text"), pair, judge))
+
+    return rows.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def _with_evidence(docs: DataFrame, text: str, model, judge: Judge | None = None) -> DataFrame:
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_evidence_rows(arrays, judge), f"row {kind}, " + (
-        "score double" if judge else "whole double, phrase double, windows double"))
+    schema = f"row {kind}, " + ("score double" if judge else "whole double, phrase double, windows double")
+    if isinstance(model, Stored):
+        return _by_joins(rows, model, judge, kind, schema)
+    return rows.mapInArrow(_evidence_rows(model, judge), schema)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
@@ -222,18 +299,14 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFra
         "text", "toxic", "fold")
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS):
-    """(broadcast arrays, judge) learnt from the labelled rows."""
-    scratch = Scratch(docs.sparkSession)
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", limit: int = TABLE_BYTES):
+    """(model of the counted folds, judge) learnt from the labelled rows."""
     rows = labelled(docs, labels, key, text)
-    counts = (rows.where(F.col("fold") != CALIBRATION).mapInArrow(_count, "gram bigint, n0 bigint, n1 bigint")
-                  .groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    grams, contexts = model_tables(scratch.keep(counts), scratch)
-    arrays = docs.sparkSession.sparkContext.broadcast(
-        (_dense(grams, "gram", slots, np.nan), _dense(contexts, "context", slots, 0.0)))
-    seen = scratch.keep(_with_evidence(rows.where(F.col("fold") == CALIBRATION).select("text", "toxic"), "text", arrays)
-                        .select("whole", "phrase", "windows", F.col("row.toxic").cast("double").alias("label")))
-    return arrays, fit(seen, curve(seen))
+    model = learn(rows.where(F.col("fold") != CALIBRATION), limit)
+    seen = Scratch(docs.sparkSession).keep(
+        _with_evidence(rows.where(F.col("fold") == CALIBRATION).select("text", "toxic"), "text", model)
+        .select("whole", "phrase", "windows", F.col("row.toxic").cast("double").alias("label")))
+    return model, fit(seen, curve(seen))
 
 
 def curve(seen: DataFrame) -> Judge:
@@ -277,10 +350,10 @@ def fit(seen: DataFrame, judge: Judge) -> Judge:
 
 
 def score_documents(docs: DataFrame, train_docs: DataFrame, labels: DataFrame, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", limit: int = TABLE_BYTES) -> DataFrame:
     """``row`` (struct of all columns), held_out, score, predicted."""
-    arrays, judge = train(train_docs, labels, key, text)
-    out = _with_evidence(docs, text, arrays, judge)
+    judge = train(train_docs, labels, key, text, limit)[1]
+    out = _with_evidence(docs, text, learn(labelled(train_docs, labels, key, text), limit), judge)
     return (out.select("row", held_out(F.col("row").getField(key)).alias("held_out"), "score")
                .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 

@@ -162,3 +162,25 @@ def test_length_alone_is_not_toxic(spark):
     share = dict(tuple(x) for x in got)
     assert share[20] <= 0.05 and share[100] <= 0.05
     assert share[1020] >= 0.95 and share[1100] >= 0.95
+
+
+def test_model_keeps_every_ngram(spark, corpus):
+    """No two n-grams share an entry, unseen ones find none, fold 3 counts for
+    the final model, and a model too large to broadcast gives the same scores."""
+    r = random.Random(2)
+    noise = ["".join(chr(r.randint(33, 126)) for _ in range(6000)) for _ in range(40)]
+    rows = [(t, i % 2) for i, t in enumerate(noise)]
+    want = np.unique(np.concatenate([X.ngrams(t) for t in noise]))
+    grams, contexts = X.learn(spark.createDataFrame(rows, "text string, toxic int")).value
+    assert np.array_equal(grams.keys, want) and np.array_equal(contexts.keys, np.unique(want >> 8))
+    assert np.isnan(grams[X.slot(np.setdiff1d(np.arange(1 << 20), want))]).all()
+    docs, labels = corpus
+    folds = {r[0] for r in X.labelled(docs, labels, "doc_id", "text").select("fold").distinct().collect()}
+    assert folds == {0, 1, 3}
+    odd = docs.where("doc_id % 7 = 0").unionByName(spark.createDataFrame(
+        [(5000, None, "x"), (5000, "idiot " * 300_000, "x"), (None, "Ж\U0001f600 q", "x")], docs.schema))
+    a, b = ([tuple(r) for r in X.score_documents(odd, docs, labels, limit=k).select("row.doc_id", "score").collect()]
+            for k in (X.TABLE_BYTES, 0))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert len(a) == odd.count() and [r[0] for r in sorted(a, key=key)] == [r[0] for r in sorted(b, key=key)]
+    assert [r[1] for r in sorted(a, key=key)] == pytest.approx([r[1] for r in sorted(b, key=key)], abs=1e-9)
