@@ -19,7 +19,9 @@ Defined cases: NULL texts and roles are empty; NULL turns sort first; equal
 turn numbers are ordered by role, then text; a record that is no JSON object
 or has an unknown layout gives one row with NULL ``layout``, role and text
 from ``turns`` (for the caller to count or drop); a record whose array is
-empty gives no turns; an empty table gives an empty result.
+empty gives no turns; an empty table gives an empty result. Spark parses no
+JSON string over 20,000,000 characters: a record with one counts as no JSON
+object, so records made from rows keep long values beside the record (``flat_records``).
 """
 
 from __future__ import annotations
@@ -76,6 +78,10 @@ MAPPINGS = (
 
 TURN = "struct<turn:bigint,role:string,text:string>"
 
+# Longer roles and texts of rows are carried beside their record.
+LONG = 1_000_000
+ASIDE = "struct<role:string,text:string>"
+
 
 def fingerprint(value: Column) -> Column:
     """The hash of the nested field paths of a parsed JSON value."""
@@ -107,9 +113,22 @@ def _turns_of(m: Mapping, value: Column) -> Column:
     return out.cast(f"array<{TURN}>")
 
 
-def turns(records: DataFrame, key: str, record: str = "record", mappings=MAPPINGS) -> DataFrame:
-    """Canonical turns of JSON records: key, layout, turn, role, text."""
-    parsed = records.select(F.col(f"`{key}`").alias("key"), F.try_parse_json(F.col(f"`{record}`")).alias("value"))
+def flat_records(rows: DataFrame, key: str) -> DataFrame:
+    """Rows (key, turn, role, text) as records of one turn: key, record, and
+    ``aside`` with the role and text that are too long for the record."""
+    own = lambda c: F.when(F.length(c) <= LONG, F.col(c)).alias(c)
+    rest = lambda c: F.when(F.length(c) > LONG, F.col(c)).alias(c)
+    return rows.select(F.col(f"`{key}`").alias(key),
+                       F.to_json(F.struct("turn", own("role"), own("text")), {"ignoreNullFields": "false"}).alias("record"),
+                       F.struct(rest("role"), rest("text")).alias("aside"))
+
+
+def turns(records: DataFrame, key: str, record: str = "record", mappings=MAPPINGS, aside: str | None = None) -> DataFrame:
+    """Canonical turns of JSON records: key, layout, turn, role, text. Values
+    of the column ``aside`` stand for those that the record leaves out."""
+    beside = F.col(f"`{aside}`") if aside else F.lit(None).cast(ASIDE)
+    parsed = records.select(F.col(f"`{key}`").alias("key"), F.try_parse_json(F.col(f"`{record}`")).alias("value"),
+                            beside.alias("beside"))
     parsed = parsed.withColumn("print", fingerprint(F.col("value")))
     none = F.array(F.lit(None).cast(TURN))
     layout, found = F.lit(None).cast("string"), none
@@ -117,8 +136,9 @@ def turns(records: DataFrame, key: str, record: str = "record", mappings=MAPPING
         hit = F.col("print") == m.fingerprint
         layout = F.when(hit, F.lit(m.name)).otherwise(layout)
         found = F.when(hit, _turns_of(m, F.col("value"))).otherwise(found)
-    return (parsed.select("key", layout.alias("layout"), F.explode(found).alias("t"))
-                  .select(F.col("key").alias(key), "layout", "t.turn", "t.role", "t.text"))
+    return (parsed.select("key", "beside", layout.alias("layout"), F.explode(found).alias("t"))
+                  .select(F.col("key").alias(key), "layout", "t.turn", F.coalesce("beside.role", "t.role").alias("role"),
+                          F.coalesce("beside.text", "t.text").alias("text")))
 
 
 def escape(c: Column) -> Column:

@@ -11,6 +11,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratingspark.llm import queries as Q
 from tests.conftest import SF_MED, SF_SMALL
@@ -157,6 +158,18 @@ def test_chat_edge_rows(spark, tmp_path):
     assert got[-1]["loss_sha256"] == sha("<|im_end|><|im_start|>assistant ok")
 
 
+def test_chat_turn_longer_than_the_json_parser_takes(spark, tmp_path):
+    n = 21_000_000
+    base = spark.createDataFrame([(1, 0, "user", "q"), (1, 2, "user", "z")], "conv_id bigint, turn bigint, role string, text string")
+    long = spark.range(1).select(F.lit(1).cast("bigint").alias("conv_id"), F.lit(1).cast("bigint").alias("turn"),
+                                 F.lit("assistant").alias("role"), F.repeat(F.lit("x"), n).alias("text"))
+    base.unionByName(long).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r["conv_id"]: r for r in Q.QUERIES["op4_chat"](spark, str(tmp_path)).collect()}[1]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got["n_turns"] == 3 and got["loss_chars"] == n and got["loss_sha256"] == sha("x" * n)
+    assert got["turns_sha256"] == sha("user\nq\nassistant\n" + "x" * n + "\nuser\nz\n")
+
+
 def test_warc_edge_rows(spark):
     from ratingspark.llm.warc import full_records, open_archive, read_records, write_archive
 
