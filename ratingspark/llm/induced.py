@@ -1,4 +1,4 @@
-"""Suffix arrays by recursive induced sorting, for shards of any size.
+"""Suffix arrays by recursive induced sorting, for shards that fit in memory.
 
 A suffix is S-type if it is smaller than the suffix after it, else L-type; an
 LMS suffix is an S-type one after an L-type one. LMS substrings are sorted and
@@ -10,8 +10,10 @@ ones.
 The queue of a sweep holds suffix positions by (symbol, arrival): a region of
 one array per symbol, filled from its open end. Sweeps are blockwise: a block
 is as long as nothing that it produces lands inside it, so whole blocks go
-through numpy. Arrays above ``MEMORY`` bytes are kept on disk (unlinked
-temporary files, gone with the task), so a shard may be larger than memory.
+through numpy. The queue is kept on disk above ``MEMORY`` bytes (an unlinked
+temporary file, gone with the task); text, types, names and codes are always
+in memory, and there are no external priority queues. A shard must therefore
+fit in memory; those of ``repeats`` are about 1 MB on average, far below it.
 """
 
 from __future__ import annotations
