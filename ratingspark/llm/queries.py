@@ -199,3 +199,42 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     g = exact_groups(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return g.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op12_decontamination", r"""
+WITH b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(LOWER_TEXT, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS k
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), keys AS (
+  SELECT DISTINCT k, len(string_split(k, ' ')) AS n FROM bw
+), d AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+         regexp_extract_all(LOWER_TEXT, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), p AS (
+  SELECT uid, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT uid, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i
+        FROM d, (SELECT DISTINCT n FROM keys))
+), h AS (
+  SELECT p.uid, p.n, p.i, p.k FROM p JOIN keys ON p.k = keys.k
+), hw AS (
+  SELECT uid, count(*)::BIGINT AS n_hit FROM (SELECT DISTINCT uid, unnest(range(i, i + n)) AS j FROM h) GROUP BY uid
+), hi AS (
+  SELECT uid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT h.uid, bw.item FROM h JOIN bw ON h.k = bw.k) GROUP BY uid
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw ON d.uid = hw.uid LEFT JOIN hi ON d.uid = hi.uid
+""".replace("LOWER_TEXT", ASCII_LOWER_SQL))
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark n-grams in all documents."""
+    from ratingspark.llm.decontaminate import contamination, hit_words
+
+    c = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return c.select("row.doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                    F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                    (F.size("spans") > 0).alias("contaminated"))
