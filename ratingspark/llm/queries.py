@@ -238,3 +238,48 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("row.doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                     F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                     (F.size("spans") > 0).alias("contaminated"))
+
+
+@register("op13_divergence", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(LOWER_TEXT, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), t AS (
+  SELECT uid, lang, source, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT uid) >= 30
+), tot AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang
+), c AS (
+  SELECT t.lang, t.source, t.term, count(*)::HUGEINT AS n
+  FROM t JOIN kept ON t.lang = kept.lang AND t.term = kept.term GROUP BY t.lang, t.source, t.term
+), g AS (
+  SELECT lang, source FROM d GROUP BY lang, source
+), gn AS (
+  SELECT lang, source, sum(n)::HUGEINT AS n FROM c GROUP BY lang, source
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(gn.n, 0) + 5 * tot.v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (kept.n + 5)) // (tot.n + 5 * tot.v))::BIGINT AS q
+  FROM g JOIN kept ON g.lang = kept.lang JOIN tot ON g.lang = tot.lang
+  LEFT JOIN gn ON g.lang = gn.lang AND g.source = gn.source
+  LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND kept.term = c.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term WHERE a.source <> b.source GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""".replace("LOWER_TEXT", ASCII_LOWER_SQL))
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of all documents against each other and their language."""
+    from ratingspark.llm.divergence import divergence_report
+
+    return divergence_report(table(spark, sf_dir, "documents"))
