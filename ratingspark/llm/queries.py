@@ -283,3 +283,12 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratingspark.llm.divergence import divergence_report
 
     return divergence_report(table(spark, sf_dir, "documents"))
+
+
+@register("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, whitened on the first four components."""
+    from ratingspark.llm.whitening import whiten
+
+    w = whiten(table(spark, sf_dir, "embeddings"), k=4, carry=["vec_id"])
+    return w.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
