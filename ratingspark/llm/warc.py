@@ -109,8 +109,13 @@ def field(header: Column, name: str) -> Column:
 def read_records(archive: Archive) -> DataFrame:
     """One row per record, joined to its payload: header, payload and what the
     header says. ``verified``: stored length and both digests agree with the
-    stored bytes."""
-    joined = archive.headers.join(archive.payloads, "address", "left")
+    stored bytes. The bytes are checked where they are stored: a reader that
+    does not select ``payload`` moves digests and lengths only."""
+    sound = ((F.sha2("payload", 256) == F.col("address")) & (base32_of_hex(F.sha1("payload")) == F.col("digest"))
+             & (F.length("payload") == F.col("bytes")))
+    stored = archive.payloads.select("address", "digest", "payload", sound.alias("sound"),
+                                     F.length("payload").cast("bigint").alias("payload_bytes"))
+    joined = archive.headers.join(stored, "address", "left")
     header = F.decode("header", "utf-8")
     page = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1)
     as_id = lambda c: F.when(c != "", c.cast("bigint"))
@@ -121,10 +126,9 @@ def read_records(archive: Archive) -> DataFrame:
         field(header, "WARC-Target-URI").alias("url"),
         F.regexp_extract(field(header, "WARC-Payload-Digest"), "sha1:(.*)", 1).alias("payload_digest"),
         as_id(page(field(header, "WARC-Refers-To"))).alias("refers_to"),
-        F.length("payload").cast("bigint").alias("payload_bytes"),
-        (F.col("payload").isNotNull() & (F.sha2("payload", 256) == F.col("address"))
-         & (base32_of_hex(F.sha1("payload")) == F.col("digest")) & (F.length("payload") == F.col("bytes"))
-         & (F.col("digest") == F.regexp_extract(field(header, "WARC-Payload-Digest"), "sha1:(.*)", 1))).alias("verified"))
+        "payload_bytes",
+        F.coalesce(F.col("sound") & (F.col("digest") == F.regexp_extract(field(header, "WARC-Payload-Digest"),
+                                                                         "sha1:(.*)", 1)), F.lit(False)).alias("verified"))
 
 
 def full_records(archive: Archive) -> DataFrame:
