@@ -111,34 +111,38 @@ def _share(n: str, total: str, v: str):
                   f"div cast({total} + 5 * {v} as decimal(20,0))").cast("bigint")
 
 
-def _pair_sums(batches):
-    """mapInArrow function: rows sorted by (lang, stripe), each one kept term
-    with ``base`` (p of a term that a source lacks) and ``at``, ``p`` of the
-    sources that hold it -> sums of |p - q| over the rows of this task."""
-    now, total, size = None, None, 0
-
-    def emit():
-        lang, stripe = now
-        first = stripe * STRIPE
-        for i, row in enumerate(total):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size, pa.string()), pa.array(np.full(size, first + i)),
-                 pa.array(np.arange(size)), pa.array(row)], names=["lang", "a", "b", "value"])
-
-    for batch in batches:
-        lang, stripe, base, at, p = (batch.column(c).to_pylist() for c in ("lang", "stripe", "base", "at", "p"))
-        for key, own, places, values in zip(zip(lang, stripe), base, at, p):
-            if key != now:
-                if now is not None:
-                    yield from emit()
-                now, size = key, len(own)
-                total = np.zeros((min(STRIPE, size - key[1] * STRIPE), size), np.int64)
-            q = np.array(own, np.int64)
-            q[places] = values
-            mine = q[key[1] * STRIPE:key[1] * STRIPE + len(total)]
-            total += np.abs(mine[:, None] - q[None, :])
-    if now is not None:
-        yield from emit()
+def _pair_sums(width: int):
+    """mapInArrow function for stripes of ``width`` sources: rows sorted by
+    (lang, stripe), each one kept term with ``base`` (p of a term that a source
+    lacks) and ``at``, ``p`` of the sources that hold it -> sums of |p - q| over
+    the rows of this task."""
+
+    def run(batches):
+        now, total, size = None, None, 0
+
+        def emit():
+            lang, stripe = now
+            for i, row in enumerate(total):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * size, pa.string()), pa.array(np.full(size, stripe * width + i)),
+                     pa.array(np.arange(size)), pa.array(row)], names=["lang", "a", "b", "value"])
+
+        for batch in batches:
+            lang, stripe, base, at, p = (batch.column(c).to_pylist() for c in ("lang", "stripe", "base", "at", "p"))
+            for key, own, places, values in zip(zip(lang, stripe), base, at, p):
+                if key != now:
+                    if now is not None:
+                        yield from emit()
+                    now, size = key, len(own)
+                    total = np.zeros((min(width, size - key[1] * width), size), np.int64)
+                q = np.array(own, np.int64)
+                q[places] = values
+                mine = q[key[1] * width:key[1] * width + len(total)]
+                total += np.abs(mine[:, None] - q[None, :])
+        if now is not None:
+            yield from emit()
+
+    return run
 
 
 def divergence_report(docs: DataFrame, least: int = LEAST, top: int = TOP, held: int = HELD) -> DataFrame:
@@ -167,12 +171,13 @@ def divergence_report(docs: DataFrame, least: int = LEAST, top: int = TOP, held:
 
     bases = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "base"))).alias("b")).select(
         "lang", F.col("b.base").alias("base"))
-    stripes = F.explode(F.expr(f"sequence(0, cast((size(base) - 1) div {STRIPE} as int))")).alias("stripe")
+    stripe = STRIPE
+    stripes = F.explode(F.expr(f"sequence(0, cast((size(base) - 1) div {stripe} as int))")).alias("stripe")
     sums = (shares.groupBy("lang", "term").agg(F.collect_list(F.struct("at", "p")).alias("e"))
                   .join(small_or_not(scratch.keep(bases), 32 + 16 * STRIPE), "lang")
                   .select("lang", stripes, "base", F.col("e.at").alias("at"), F.col("e.p").alias("p"))
                   .sortWithinPartitions("lang", "stripe")
-                  .mapInArrow(_pair_sums, "lang string, a bigint, b bigint, value bigint")
+                  .mapInArrow(_pair_sums(stripe), "lang string, a bigint, b bigint, value bigint")
                   .groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     one = groups.select("lang", "source", F.col("at").alias("a"))
     other = groups.select("lang", F.col("source").alias("item"), F.col("at").alias("b"))

@@ -17,7 +17,7 @@ from ratingspark.llm import queries as Q
 from tests.conftest import SF_MED, SF_SMALL
 from tests.llm import brute
 
-TABLES = ["documents", "pages", "conversations", "labels"]
+TABLES = ["documents", "pages", "conversations", "labels", "benchmark"]
 
 
 @pytest.fixture(scope="module")
