@@ -15,25 +15,26 @@ from pyspark.sql import types as T
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def _row_width(schema: T.StructType) -> int:
-    width = 16
-    for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, T.StringType):
-            width += 48
-        elif isinstance(dt, T.ArrayType):
-            width += 16 + 8 * 64
-        else:
-            width += 8
-    return width
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a materialized table as rows in memory: 16 and 8 bytes
+    a column for each row, plus the measured lengths of strings, binaries and
+    arrays."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            size = size + 16 * F.greatest(F.size(F.col(f"`{f.name}`")), F.lit(0))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return r["n"], r["bytes"]
 
 
 def size_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                 max_rows: int | None = None, materialize: str = "persist") -> tuple[DataFrame, bool]:
+                 max_rows: int | None = None, materialize: str = "table") -> tuple[DataFrame, bool]:
     """Materialize ``df`` (it is about to be joined, usually more than once)
-    and measure its row count. Returns (frame, small): the frame carries a
-    broadcast hint only when its estimated size is under ``max_bytes``;
-    otherwise the planner uses a shuffle join.
+    and measure it. Returns (frame, small): the frame carries a broadcast hint
+    only when its measured size is under ``max_bytes``; otherwise the planner
+    uses a shuffle join.
 
     ``materialize='checkpoint'`` writes a reliable checkpoint to the shared
     checkpoint folder, ``'table'`` a parquet table there; both also cut the
@@ -45,16 +46,13 @@ def size_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
         df = cut_lineage(df, how="checkpoint" if materialize == "checkpoint" else "table")
     else:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    limit = max_bytes // _row_width(df.schema)
-    if max_rows is not None:
-        limit = min(limit, max_rows)
-    small = n <= limit
+    n, size = measured_bytes(df)
+    small = size <= max_bytes and (max_rows is None or n <= max_rows)
     return (F.broadcast(df) if small else df), small
 
 
 def broadcast_checked(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      max_rows: int | None = None, materialize: str = "persist") -> DataFrame:
+                      max_rows: int | None = None, materialize: str = "table") -> DataFrame:
     """``size_checked`` without the flag."""
     return size_checked(df, max_bytes, max_rows, materialize)[0]
 

@@ -7,13 +7,16 @@ md5 of the row's key columns: the smallest hashes of each stratum go to the
 hold-out. That choice is deterministic, reproducible on any cluster size and
 expressible in SQL.
 
-No stratum is ever sorted. The hash that ends a stratum's quota is found by
-its hex digits, a few at a time: rows are counted per (stratum, next digits)
-inside the prefix found so far, a table of at most strata x 16^3 rows; the one
-prefix where the quota runs out is refined until it holds few rows. Then every
+No stratum is ever sorted, and every hash is computed once: rows are written
+with their hash, and all steps after that read two narrow columns. The hash
+that ends a stratum's quota is found by its hex digits, a few at a time: one
+histogram of (stratum, first digits), of at most strata x 16^3 rows, gives the
+size of every stratum, so its quota, and the one prefix where the quota runs
+out; a prefix is refined until it holds few rows, which are listed. Then every
 row is decided by comparing its hash with its stratum's literal. Rows that tie
 on the last hash have equal keys; only they are numbered, and only if the
-quota ends among them.
+quota ends among them. A draw is three scans after the quartiles, up to strata
+of about 16^3 x ``FEW_ROWS`` rows, and one more for each 16^3 times as many.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from ratingspark.session import cut_lineage
 
 QUARTILE_PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
 DIGITS = 3            # hex digits read at a time: at most 4096 buckets a stratum
-FEW_ROWS = 1000       # a prefix with at most so many hashes is listed
+FEW_ROWS = 50_000     # a prefix with at most so many hashes is listed
 HASH_DIGITS = 32
 
 
@@ -59,22 +62,28 @@ def hash_expr(key_cols: list[str], seed, y: str = "rating"):
     return F.md5(F.concat_ws("|", *parts))
 
 
-def last_hashes(hashed: DataFrame, need: dict[int, int], digits: int = DIGITS,
-                few: int = FEW_ROWS) -> dict[int, tuple[str, int, int]]:
-    """{stratum: (hash of the need-th smallest row, rows with that hash, how
-    many of them are needed)} of (_s, _h) rows; a stratum that needs none is
-    left out. What is collected is bounded by the buckets and ``few``."""
-    open_ = {s: ("", k) for s, k in need.items() if k > 0}   # prefix, rows still needed inside it
+def _inside(prefixes: dict):
+    """Rows (_s, _h) whose hash starts with their stratum's prefix."""
+    return reduce(lambda a, b: a | b, [(F.col("_s") == s) & F.col("_h").startswith(pre) for s, (pre, _) in prefixes.items()])
+
+
+def last_hashes(hashed: DataFrame, quota, digits: int = DIGITS, few: int = FEW_ROWS) -> dict[int, tuple[str, int, int]]:
+    """{stratum: (hash of the last row of its quota, rows with that hash, how
+    many of them are needed)} of (_s, _h) rows; ``quota(n)`` rows of a stratum
+    of n are wanted, and a stratum that needs none is left out. What is
+    collected is bounded by the buckets and ``few``."""
+    open_: dict[int, tuple[str, int]] | None = None    # prefix, rows still needed inside it
     out: dict[int, tuple[str, int, int]] = {}
-    while open_:
-        depth = len(next(iter(open_.values()))[0])
-        inside = reduce(lambda a, b: a | b, [(F.col("_s") == s) & F.col("_h").startswith(pre)
-                                             for s, (pre, _) in open_.items()])
-        rows = hashed.where(inside)
+    depth = 0
+    while open_ is None or open_:
         width = min(depth + digits, HASH_DIGITS)
+        rows = hashed if open_ is None else hashed.where(_inside(open_))
         counts: dict[int, list] = {}
         for r in rows.groupBy("_s", F.substring("_h", 1, width).alias("_b")).agg(F.count(F.lit(1)).alias("n")).collect():
             counts.setdefault(r["_s"], []).append((r["_b"], r["n"]))
+        if open_ is None:
+            need = {s: quota(sum(n for _, n in c)) for s, c in counts.items()}
+            open_ = {s: ("", k) for s, k in need.items() if k > 0}
         cut, small = {}, {}
         for s, (_, k) in open_.items():
             for b, n in sorted(counts[s]):
@@ -83,10 +92,8 @@ def last_hashes(hashed: DataFrame, need: dict[int, int], digits: int = DIGITS,
                     break
                 k -= n
         if small:
-            inside = reduce(lambda a, b: a | b, [(F.col("_s") == s) & F.col("_h").startswith(pre)
-                                                 for s, (pre, _) in small.items()])
             listed: dict[int, list] = {}
-            for r in hashed.where(inside).groupBy("_s", "_h").agg(F.count(F.lit(1)).alias("n")).collect():
+            for r in hashed.where(_inside(small)).groupBy("_s", "_h").agg(F.count(F.lit(1)).alias("n")).collect():
                 listed.setdefault(r["_s"], []).append((r["_h"], r["n"]))
             for s, (_, k) in small.items():
                 for h, n in sorted(listed[s]):
@@ -94,19 +101,19 @@ def last_hashes(hashed: DataFrame, need: dict[int, int], digits: int = DIGITS,
                         out[s] = (h, n, k)
                         break
                     k -= n
-        open_ = cut
+        open_, depth = cut, width
     return out
 
 
 def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
                        key_cols: list[str] | None = None, flag: str = "_holdout", digits: int = DIGITS,
                        few: int = FEW_ROWS) -> DataFrame:
-    """Add boolean column ``flag``: True for the drawn hold-out rows."""
+    """Add boolean column ``flag``: True for the drawn hold-out rows. The rows
+    are written once, with their hash; the flag is a comparison on that table."""
     key_cols = key_cols or ["userId", "movieId", y, "timestamp"]
-    h = df.withColumn("_s", stratum_expr(y, rating_breaks(df, y))).withColumn("_h", hash_expr(key_cols, seed, y))
-    narrow = h.select("_s", "_h")
-    need = {r["_s"]: int(math.ceil(p * r["n"])) for r in narrow.groupBy("_s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    last = last_hashes(narrow, need, digits, few)
+    written = cut_lineage(df.withColumn("_h", hash_expr(key_cols, seed, y)))
+    h = written.withColumn("_s", stratum_expr(y, rating_breaks(written, y)))
+    last = last_hashes(h.select("_s", "_h"), lambda n: int(math.ceil(p * n)), digits, few)
     taken, tied = F.lit(False), {}
     for s, (end, n, k) in last.items():
         row = F.col("_s") == s
@@ -149,5 +156,5 @@ def repair_holdout(flagged: DataFrame, flag: str = "_holdout", item: str = "movi
 
 def holdout_split(df: DataFrame, p: float = 0.1, seed=1, key_cols: list[str] | None = None,
                   **kw) -> tuple[DataFrame, DataFrame]:
-    """Stratified draw (written once) + repair: (training, holdout)."""
-    return repair_holdout(cut_lineage(stratified_holdout(df, p=p, seed=seed, key_cols=key_cols, **kw)))
+    """Stratified draw + repair: (training, holdout)."""
+    return repair_holdout(stratified_holdout(df, p=p, seed=seed, key_cols=key_cols, **kw))
