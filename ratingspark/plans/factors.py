@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ratingspark.functions.columns import clamp
 from ratingspark.operators.aggregates import argmin, sum_duplicates
-from ratingspark.operators.mf import apply_ids, int_ids, restore_ids, tune_als
-from ratingspark.operators.svd import SVDFit, factor_dot, truncated_svd
+from ratingspark.operators.mf import apply_ids, int_ids, restore_ids, row_fold, stationarity, tune_als
+from ratingspark.operators.svd import Certificate, SVDFit, certify, factor_dot, truncated_svd
 from ratingspark.plans import models as M
 from ratingspark.plans.pipeline import RatingSets
 from ratingspark.session import cut_lineage
@@ -43,6 +43,10 @@ def svd_fit(s: RatingSets, rank: int = max(SVD_RANKS), lam: float = M.LAMBDA_SYM
     return M._memo(s, ("svd", rank, lam, on), lambda: truncated_svd(residual_cells(s, lam, on), rank))
 
 
+def svd_certificate(s: RatingSets, rank: int = max(SVD_RANKS), lam: float = M.LAMBDA_SYM, on: str = "train") -> Certificate:
+    return M._memo(s, ("svd_certificate", rank, lam, on), lambda: certify(svd_fit(s, rank, lam, on)))
+
+
 def cv_residual_preds(s: RatingSets, ranks=SVD_RANKS, lam: float = M.LAMBDA_SYM) -> DataFrame:
     cv = M.with_bt(s, s.cv_set, lam).withColumn("res", F.col("rating") - F.col("b_t_pred"))
     return factor_dot(cv, svd_fit(s, max(ranks), lam), list(ranks))
@@ -88,19 +92,29 @@ def svd_training_predictions(s: RatingSets, f: int | None = None, rank: int = ma
 
 
 def mf_fit(s: RatingSets):
-    """(curve, best model, user id map, item id map)."""
+    """(curve, best model, user id map, item id map). Folds are dealt by the
+    rows' own ids, before they are coded."""
     def build():
-        train, umap = int_ids(s.training_set.select("userId", "movieId", "rating"), "userId")
+        train = s.training_set.select("userId", "movieId", "rating", row_fold(MF_FOLDS).alias("fold"))
+        train, umap = int_ids(train, "userId")
         train, imap = int_ids(train, "movieId")
-        curve, model = tune_als(train, MF_RANKS, MF_REG, MF_FOLDS)
-        return curve, model, umap, imap
+        train = cut_lineage(train)
+        curve, model = tune_als(train, MF_RANKS, MF_REG, MF_FOLDS, fold_col="fold")
+        return curve, model, umap, imap, train
     return M._memo(s, ("mf",), build)
 
 
+def mf_stationarity(s: RatingSets) -> DataFrame:
+    """(userId, n, gap): the normal equations of every user of the tuned model."""
+    _, model, umap, _, train = mf_fit(s)
+    gaps = M._memo(s, ("mf_gap",), lambda: cut_lineage(stationarity(model, train, MF_REG, "user")))
+    return gaps.join(umap, F.col("id") == F.col("_code")).select("userId", "n", "gap")
+
+
 def mf_test_predictions(s: RatingSets, clamped: bool = False) -> DataFrame:
     """ALS predictions for test_set, unclamped unless asked; NaN (unknown id)
     -> NULL."""
-    _, model, umap, imap = mf_fit(s)
+    _, model, umap, imap, _ = mf_fit(s)
     test = s.test_set.select("userId", "movieId", "rating", "rating_date")
     test = apply_ids(apply_ids(test, "userId", umap), "movieId", imap)
     scored = model.transform(test)

@@ -108,3 +108,29 @@ def cut_lineage(df, how: str = "table"):
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+class ScratchTables:
+    """Tables in the shared checkpoint folder whose owner drops them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}"
+        self.made: list[str] = []   # paths, in the order they were written
+        self.count = 0
+
+    def write(self, df):
+        """``df`` written and read back."""
+        self.count += 1
+        path = f"{self.base}/t{self.count}"
+        df.write.parquet(path)
+        self.made.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, paths: list[str]) -> None:
+        """Delete tables that nothing will read again."""
+        jvm = self.spark._jvm
+        for path in list(paths):
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            self.made.remove(path)

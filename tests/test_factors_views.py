@@ -129,7 +129,8 @@ def test_registered_svd_against_numpy(spark, sf):
     fit = FX.svd_fit(s)
     assert fit.sigma == pytest.approx(list(sv[:60]), rel=1e-7)
     uf, vf = fit.user_factors.toPandas(), fit.item_factors.toPandas()
-    uf, vf = uf.set_index("userId").loc[list(u)].to_numpy(), vf.set_index("movieId").loc[list(it)].to_numpy()
+    uf = np.stack(uf.set_index("userId").loc[list(u)].u.to_list())
+    vf = np.stack(vf.set_index("movieId").loc[list(it)].v.to_list())
     for f in FX.SVD_RANKS:
         want = (U[:, :f] * sv[:f]) @ Vt[:f]
         assert np.linalg.norm(uf[:, :f] @ vf[:, :f].T - want) < 1e-3 * np.linalg.norm(want)

@@ -14,8 +14,8 @@ from ratingspark.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ["part", "orders", "lineitem", "events"]
-SLOW = {"tune_mf", "mdl_mf", "mdl_mf_predict", "mdl_svd_fit", "tune_svd", "join_factor_dot", "mdl_ladder_full",
-        "mdl_svd_predict", "mdl_svd_train", "interact_view_final"}
+SLOW = {"tune_mf_curve", "mdl_mf_values", "mdl_mf_rmse", "mdl_svd_sigma", "tune_svd_curve", "join_factor_dot_values",
+        "mdl_ladder_full", "mdl_svd_rmse", "mdl_svd_train_rmse", "interact_view_final"}
 
 
 def _norm(v):
@@ -67,7 +67,7 @@ def test_entry_runs(spark):
     assert len(out) == 1 and out[0]["rmse"] is not None
 
 
-@pytest.mark.parametrize("name", ["mdl_svd_predict", "mdl_mf_predict", "mdl_ladder", "snk_metric"])
+@pytest.mark.parametrize("name", ["mdl_svd_rmse", "mdl_mf_rmse", "mdl_ladder", "snk_metric"])
 def test_iterative_queries_run(spark, name):
     rows = registry.queries()[name](spark, SF_SMALL).collect()
     assert rows and all(r["rmse"] is not None for r in rows)

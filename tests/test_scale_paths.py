@@ -105,26 +105,87 @@ def test_bias_chain_without_broadcast_same_result(spark):
     assert a == pytest.approx(b, rel=1e-12)
 
 
-def test_svd_without_item_broadcast_same_factors(spark):
-    import ratingspark.operators.svd as SV
+@pytest.fixture(scope="module")
+def noise(spark):
     rng = np.random.default_rng(4)
     rows = [(int(u), int(i), float(rng.normal())) for u in range(60) for i in range(40) if rng.random() < 0.4]
-    cells = spark.createDataFrame(rows, "userId long, movieId long, res double")
-    a = SV.truncated_svd(cells, rank=3, oversample=20)
-    b = SV.truncated_svd(cells, rank=3, oversample=20, tol=1e-5, block_bytes=1)
-    assert a.sigma == pytest.approx(b.sigma, rel=1e-8)
-    pa, pb = (SV.factor_dot(cells, f).orderBy("userId", "movieId").toPandas().res_pred for f in (a, b))
-    assert np.abs(pa - pb).max() < 1e-3 * np.abs(pa).max()
+    return spark.createDataFrame(rows, "userId long, movieId long, res double").repartition(5)
 
 
-def test_svd_that_does_not_converge_raises(spark):
+@pytest.mark.parametrize("how", [
+    {"item_block": 8, "fan": 2},                                            # one stripe, many blocks, trees of products
+    {"basis_bytes": 0, "item_block": 16, "fan": 2},                          # the basis in Spark
+    {"basis_bytes": 0, "item_block": 8, "block_bytes": 1024, "fan": 2},      # and several stripes
+    {"basis_bytes": 0, "item_block": 16, "max_columns": 24, "max_products": 300},   # and restarts
+])
+def test_svd_is_the_same_however_it_is_laid_out(spark, noise, how):
     import ratingspark.operators.svd as SV
-    rng = np.random.default_rng(4)
-    rows = [(int(u), int(i), float(rng.normal())) for u in range(60) for i in range(40) if rng.random() < 0.4]
-    cells = spark.createDataFrame(rows, "userId long, movieId long, res double")
-    for block_bytes in (1, SV.BLOCK_BYTES):
+    dense = np.zeros((60, 40))
+    for r in noise.collect():
+        dense[r["userId"], r["movieId"]] = r["res"]
+    u, s, vt = np.linalg.svd(dense)
+    fit = SV.truncated_svd(noise, rank=3, oversample=5, **how)
+    assert fit.sigma == pytest.approx(list(s[:3]), rel=1e-8)
+    got = SV.factor_dot(noise, fit, [1, 3]).toPandas()
+    for f in (1, 3):
+        want = ((u[:, :f] * s[:f]) @ vt[:f])[got.userId, got.movieId]
+        assert np.abs(got[f"res_pred_{f}"] - want).max() < 1e-4
+    c = SV.certify(fit, powers=4, fan=2)
+    assert c.residual <= 2e-6 and c.items < 1e-10 and c.users < 1e-9 and c.captured2 <= c.norm2
+    assert c.cells == noise.count() and c.norm2 == pytest.approx((dense ** 2).sum())
+    assert s[3] / s[2] <= c.bound < 4
+
+
+def test_certificate_sees_a_missing_value(spark, noise):
+    """A fit whose second vector is left out is not certified."""
+    import ratingspark.operators.svd as SV
+    big = noise.unionByName(spark.createDataFrame([(99, 99, 30.0), (98, 98, 25.0)], noise.schema))
+    fit = SV.truncated_svd(big, rank=3, oversample=5)
+    keep = F.array(F.col("v")[0], F.col("v")[2])
+    fit.item_factors = fit.item_factors.withColumn("v", keep)
+    fit.user_factors = fit.user_factors.withColumn("u", F.array(F.col("u")[0], F.col("u")[2]))
+    fit.sigma = [fit.sigma[0], fit.sigma[2]]
+    c = SV.certify(fit, powers=6)
+    assert c.residual < 1e-5 and c.bound > 1.5
+
+
+def test_svd_that_does_not_converge_raises(spark, noise):
+    import ratingspark.operators.svd as SV
+    for basis_bytes in (0, SV.BASIS_BYTES):
         with pytest.raises(SV.NotConverged):
-            SV.truncated_svd(cells, rank=3, oversample=2, max_products=2, block_bytes=block_bytes)
+            SV.truncated_svd(noise, rank=3, oversample=2, max_products=2, basis_bytes=basis_bytes)
+
+
+def test_als_folds_do_not_depend_on_partitions(spark):
+    from ratingspark.operators.mf import stationarity
+    rng = np.random.default_rng(1)
+    rows = [(u, i, float(np.clip(3 + rng.normal(), 0.5, 5))) for u in range(40) for i in range(30) if rng.random() < 0.5]
+    rows += [(41, 31, 4.0)]   # seen once: no prediction in its fold
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double")
+    curves = []
+    for parts in (2, 13):
+        curve, model = tune_als(df.repartition(parts), ranks=(2, 4), folds=2, max_iter=5)
+        curves.append({r["rank"]: (round(r["rmse"], 9), r["n"], r["n_missing"]) for r in curve.collect()})
+    assert curves[0] == curves[1]
+    assert all(n == len(rows) and missing == 1 for _, n, missing in curves[0].values())
+    gaps = stationarity(model, df, 0.01, "user").collect()
+    assert len(gaps) == 41 and max(r["gap"] for r in gaps) < 1e-4 and sum(r["n"] for r in gaps) == len(rows)
+    off = stationarity(model, df.withColumn("rating", F.col("rating") + 1), 0.01, "user").agg(F.min("gap")).first()[0]
+    assert off > 1e-3
+
+
+def test_als_blocks_follow_the_data():
+    from ratingspark.operators.mf import block_count
+    assert block_count(600_000, 15_000, 8) == 8 and block_count(600_000, 15_000, 4000) == 10
+    assert block_count(10**11, 10**8, 4000) == 25_000 and block_count(100, 3, 8) == 3
+
+
+def test_broadcasts_are_measured(spark):
+    from ratingspark.operators.joins import size_checked
+    texts = spark.range(200).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert size_checked(texts, 3_000_000)[1] and not size_checked(texts, 1_000_000)[1]
+    arrays = spark.range(10).select("id", F.sequence(F.lit(1), F.lit(5000)).alias("a"))
+    assert not size_checked(arrays, 100_000)[1]
 
 
 def test_large_stage_table_joined_while_row_is_narrow(spark):
