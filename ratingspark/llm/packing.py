@@ -12,7 +12,8 @@ its document opens the next sequence. Only the last sequence has padding.
 Ids are kept in two bytes where the vocabulary fits, else in four. The default
 vocabulary file is read by the tiktoken library; a ``.json`` file by the
 tokenizers library, which gives the same ids for the same vocabulary (tested)
-at a fifth of the speed. Special-token strings in a text are ordinary text.
+at a fifth of the speed. Strings of the file's added tokens get the ids of
+these tokens, as the tokenizers library does by default.
 
 Defined cases: NULL text is empty, so its document is just the closing id;
 NULL and repeated doc_ids are packed like any other, one run of pieces per
@@ -23,6 +24,7 @@ empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +58,16 @@ def encoder(path: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         return lambda text: t.encode(text, add_special_tokens=False).ids
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    t = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return t.encode_ordinary
+    with open(path.removesuffix(".tiktoken") + ".json") as f:   # the same vocabulary, with its added tokens
+        added = {a["content"]: a["id"] for a in json.load(f)["added_tokens"]}
+    t = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: t.encode(text, allowed_special="all")
 
 
 def _tokenise(name: str, end_id: int, width: str):
