@@ -19,7 +19,9 @@ result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingspark.llm.common import Scratch, fresh, small_or_not
@@ -33,20 +35,28 @@ def uniform(seed: int, *parts: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def poisson_steps(rate: Column) -> Column:
-    """The distribution function at 0, 1, 2, ... as an array. It ends where
-    the tail is below 2^-53 of the uniform numbers' resolution, so no count
-    that can be drawn is cut off."""
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    # logarithms, as exp(-rate) itself underflows for rates over 745
-    start = F.struct((-rate).alias("log_p"), F.array(F.exp(-rate)).alias("cdf"))
-
-    def step(acc, k):
-        log_p = F.when(rate > 0, acc["log_p"] + F.ln(rate) - F.ln(k.cast("double"))).otherwise(F.lit(float("-inf")))
-        return F.struct(log_p.alias("log_p"),
-                        F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + F.exp(log_p))).alias("cdf"))
-
-    return F.aggregate(F.sequence(F.lit(1), top), start, step, lambda a: a["cdf"])
+def poisson_table(rates: DataFrame, key: str = "mix_source", rate: str = "rate") -> DataFrame:
+    """``rates`` plus ``low`` and ``cdf``, the distribution function at low,
+    low + 1, ... The table goes 12 standard deviations and 40 steps to either
+    side of the rate, beyond which the tails are far below the uniform numbers'
+    resolution, so no count that can be drawn is cut off. Rows (source, k) are
+    summed by windows over one source: about 24 sqrt(rate) rows each."""
+    r, wide = F.col(rate), 12 * F.sqrt(rate) + 40
+    low = F.when(r - wide < 100, F.lit(0)).otherwise(F.floor(r - wide)).cast("bigint")
+    steps = rates.withColumn("low", low).withColumn("k", F.explode(F.sequence("low", F.ceil(r + wide).cast("bigint"))))
+    k, first = F.col("k").cast("double"), F.col("low").cast("double")
+    # ln(low!) by Stirling's series, exact to double precision from 100 on; 0 for low = 0
+    factorial = F.when(F.col("low") == 0, 0.0).otherwise(
+        first * F.ln(first) - first + 0.5 * F.ln(2 * math.pi * first) + 1 / (12 * first) - 1 / (360 * first ** 3)
+        + 1 / (1260 * first ** 5))
+    never = F.lit(float("-inf"))
+    start = F.when(r > 0, -r + first * F.ln(r) - factorial).otherwise(F.when(F.col("low") == 0, 0.0).otherwise(never))
+    more = F.when(F.col("k") == F.col("low"), start).otherwise(F.when(r > 0, F.ln(r) - F.ln(k)).otherwise(never))
+    along = Window.partitionBy(key).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    steps = steps.withColumn("p", F.exp(F.sum(more).over(along))).withColumn("at_k", F.sum("p").over(along))
+    others = [c for c in rates.columns if c != key]
+    return steps.groupBy(key).agg(*[F.first(c).alias(c) for c in (*others, "low")],
+                                  F.array_sort(F.collect_list(F.struct("k", "at_k"))).alias("cdf")).withColumn("cdf", F.col("cdf.at_k"))
 
 
 def source_rates(docs: DataFrame, source: str, text: str, weights: dict | None) -> DataFrame:
@@ -72,17 +82,17 @@ def mix(docs: DataFrame, weights: dict | None = None, seed: int = SEED, source:
     """Copies of the rows of ``docs``, globally shuffled: all their columns and
     copy (from 1), n_copies, rate, shuffle_key (names get underscores if
     ``docs`` has them already)."""
-    copy, n_copies, rate, shuffle_key, src, cdf = fresh(docs.columns, "copy", "n_copies", "rate", "shuffle_key",
-                                                        "mix_source", "mix_cdf")
-    rates = source_rates(docs, source, text, weights)
-    rates = rates.select(F.col("mix_source").alias(src), F.col("rate").alias(rate),
-                         poisson_steps(F.col("rate")).alias(cdf))
-    rates = Scratch(docs.sparkSession).keep(rates)
-    # few sources: broadcast; many: a shuffle join, split where a source is hot
-    rates = small_or_not(rates, 1024)
+    copy, n_copies, rate, shuffle_key, src, cdf, low = fresh(docs.columns, "copy", "n_copies", "rate", "shuffle_key",
+                                                             "mix_source", "mix_cdf", "mix_low")
+    rates = poisson_table(source_rates(docs, source, text, weights).select("mix_source", "rate"))
+    rates = Scratch(docs.sparkSession).keep(rates.select(F.col("mix_source").alias(src), F.col("rate").alias(rate),
+                                                         F.col("low").alias(low), F.col("cdf").alias(cdf)))
+    # broadcast while the arrays, as measured, are small; else a shuffle join, split where a source is hot
+    longest = rates.agg(F.max(F.size(cdf))).first()[0] or 0
+    rates = small_or_not(rates, 128 + 8 * longest)
     drawn = docs.join(rates, F.col(f"`{source}`").eqNullSafe(F.col(src)))
     u = uniform(seed, F.col(f"`{key}`"))
-    drawn = drawn.withColumn(n_copies, F.size(F.filter(F.col(cdf), lambda c: c <= u)).cast("bigint"))
+    drawn = drawn.withColumn(n_copies, F.col(low) + F.size(F.filter(F.col(cdf), lambda c: c <= u)))
     copies = drawn.where(F.col(n_copies) > 0).select(
         *[F.col(f"`{c}`") for c in docs.columns], F.col(n_copies), F.col(rate),
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n_copies))).alias(copy))

@@ -71,10 +71,11 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").repartition(5)
     odd = spark.createDataFrame([(-1, None, "x"), (-2, "", "x"), (None, "a b <|endoftext|> \U0001F600", "x"),
-                                 (-3, "w " * 60_000, "x"), (-3, "w " * 60_000, "x")], "doc_id bigint, text string, lang string")
+                                 (-3, "w " * 60_000, "x"), (-3, "w " * 60_000, "x"),
+                                 (-4, "<|endoftext|><|endoftext|>x<|endoftext", "x"), (-5, "y <|endoftext|> " + "w " * 600_000, "x")],
+                                "doc_id bigint, text string, lang string")
     docs = docs.unionByName(odd).withColumnRenamed("lang", "ids")
     texts = {}
     for r in docs.collect():
@@ -205,8 +206,7 @@ def test_warc_edge_rows(spark):
 
 
 def test_mixing_edge_rows(spark):
-    from ratingspark.llm.mixing import mix, poisson_steps
-    from pyspark.sql import functions as F
+    from ratingspark.llm.mixing import mix
 
     rows = [(i, "x" * (i % 7 + 1), "a" if i % 3 else None) for i in range(3000)]
     rows += [(None, None, "empty"), (5, "again", "a"), (7, "y" * 100_000, "long")]
@@ -225,8 +225,33 @@ def test_mixing_edge_rows(spark):
     assert [r["copy_"] for r in mix(docs, {"a": 3.0, "long": 1.0}).orderBy("shuffle_key").collect()] == [
         r["copy_"] for r in sorted(got, key=lambda r: r["shuffle_key"])]
     assert mix(docs.limit(0)).collect() == []
-    for rate in (0.0, 0.3, 900.0):
-        cdf = spark.range(1).select(poisson_steps(F.lit(rate)).alias("c")).first()["c"]
-        assert abs(cdf[-1] - 1) < 1e-9 and all(a <= b for a, b in zip(cdf, cdf[1:]))
-        mean = sum(1 - c for c in cdf)
-        assert abs(mean - rate) < 1e-6 * max(1, rate)
+
+
+def test_poisson_tables(spark):
+    """Against the plain distribution; a rate of a million takes seconds."""
+    import math
+    import time
+
+    from ratingspark.llm.mixing import poisson_table
+
+    rates = {"none": 0.0, "a": 0.3, None: 17.0, "b": 900.0, "c": 60_000.5, "d": 1e6}
+    began = time.time()
+    got = poisson_table(spark.createDataFrame(list(rates.items()), "mix_source string, rate double")).collect()
+    assert time.time() - began < 30 and len(got) == len(rates)
+    for r in got:
+        rate, cdf = rates[r["mix_source"]], np.array(r["cdf"])
+        assert r["rate"] == rate and np.all(np.diff(cdf) >= 0) and abs(cdf[-1] - 1) < 1e-7
+        assert len(cdf) <= 24 * rate ** 0.5 + 130
+        k = np.arange(r["low"], r["low"] + len(cdf))
+        p = [float(rate == 0 and i == 0) if rate == 0 else math.exp(-rate + i * math.log(rate) - math.lgamma(i + 1)) for i in k.tolist()]
+        assert np.abs(np.cumsum(p) - cdf).max() < 1e-7
+
+
+def test_mixing_with_a_tiny_source(spark):
+    """Two characters beside 600,000: the small source's document appears
+    about 150,000 times, at a rate that a table of 300 steps a side holds."""
+    from ratingspark.llm.mixing import mix
+
+    docs = spark.createDataFrame([(1, "x" * 600_000, "big"), (2, "ab", "tiny")], "doc_id bigint, text string, source string")
+    n = {r["doc_id"]: r["n"] for r in mix(docs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert abs(n[2] - 150_000) < 6 * 150_000 ** 0.5 and n.get(1, 0) <= 5
