@@ -8,7 +8,7 @@ import sys
 import corpus_pipeline as C
 from ratingspark.llm import queries as Q
 from ratingspark.llm import stages
-from tests.conftest import ROOT, SF_MED
+from tests.conftest import ROOT, SF_MED, SF_SMALL
 from tests.llm import brute
 
 
@@ -54,7 +54,7 @@ def test_stage_list():
 def test_entry_has_one_query_for_each_operator():
     import __spark_entry__ as E
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(Q.ORACLES) <= set(E.oracle_sql())
 
@@ -72,3 +72,26 @@ def test_entry_without_this_subpackage(tmp_path):
     assert out.returncode == 0, out.stderr
     n, ops, pipe = out.stdout.split()
     assert int(n) > 90 and (ops, pipe) == ("False", "False")
+
+
+def test_run_on_odd_tables(spark, tmp_path):
+    """NULLs in every column, empty and repeated rows, extra columns with the
+    names that stages use; and no documents at all."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    extra = {c: F.lit(1) for c in ("row", "uid", "ids", "copy", "rate", "label", "score", "kept", "component_id")}
+    odd = spark.createDataFrame([(None, None, None, None, None), (-1, "", "en", "s", 0), (-2, None, None, "s", None),
+                                 (-3, "   ", "en", None, 3), (-4, "same words here", "en", "s", 15),
+                                 (-4, "same words here", "en", "s", 15)], docs.schema)
+    docs.unionByName(odd).withColumns(extra).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    none = spark.createDataFrame([(None, None, None), (5, None, 1), (6, 1, None)], labels.schema)
+    labels.unionByName(none).write.parquet(str(tmp_path / "labels.parquet"))
+    out = C.run(spark, str(tmp_path)).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in out}) == len(out) > 0
+    assert sum(r["doc_id"] is None for r in out) <= 3
+    empty = tmp_path / "empty"
+    docs.limit(0).write.parquet(str(empty / "documents.parquet"))
+    labels.limit(0).write.parquet(str(empty / "labels.parquet"))
+    assert C.run(spark, str(empty)).collect() == []

@@ -159,6 +159,21 @@ def test_chat_edge_rows(spark, tmp_path):
     assert got[-1]["loss_sha256"] == sha("<|im_end|><|im_start|>assistant ok")
 
 
+def test_chat_empty_table_and_clashing_names(spark, tmp_path):
+    """Without rows only the added conversation comes out; columns with the
+    operator's own names change nothing."""
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "conversations.parquet"))
+    (only,) = Q.QUERIES["op4_chat"](spark, str(tmp_path / "none")).collect()
+    assert (only["conv_id"], only["n_turns"]) == (-1, 2)
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", None), (None, 0, None, "b")], schema)
+    rows.write.parquet(str(tmp_path / "plain" / "conversations.parquet"))
+    clash = {c: F.lit("x") for c in ("record", "aside", "key", "value", "layout", "print", "t", "beside")}
+    rows.withColumns(clash).write.parquet(str(tmp_path / "clash" / "conversations.parquet"))
+    a, b = ([tuple(r) for r in Q.QUERIES["op4_chat"](spark, str(tmp_path / d)).collect()] for d in ("plain", "clash"))
+    assert sorted(a, key=str) == sorted(b, key=str) and len(a) == 3
+
+
 def test_chat_turn_longer_than_the_json_parser_takes(spark, tmp_path):
     n = 21_000_000
     base = spark.createDataFrame([(1, 0, "user", "q"), (1, 2, "user", "z")], "conv_id bigint, turn bigint, role string, text string")
