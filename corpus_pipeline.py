@@ -3,6 +3,12 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
 written as Parquet and read again as the next one's docs. All but the last
 return the columns of ``documents``.
+
+Defined cases, of run() and of every stage: a NULL text counts as empty; NULL
+doc_ids, langs and sources are values like any other (labels of a NULL doc_id
+are not used); equal texts leave the row with the largest doc_id, repeated rows
+one of them; extra columns of ``documents`` are carried, whatever their names;
+empty documents give no pieces, and without labels no document is rejected.
 """
 
 from __future__ import annotations
