@@ -21,6 +21,9 @@ than a short one. A logistic function of evidence per byte and surprise, with
 coefficients of at least 0, fitted on the same rows and the toxic ones that
 were not counted, gives the score.
 
+Texts are read in slices of SLICE n-grams, whose sums, windows and counts are
+carried on, so a task's working memory does not grow with a text's length.
+
 Counts come from all training rows. N-gram tables stay in Spark; each context
 has at most 256 continuations, so windows over a context are bounded. The
 finished model has every n-gram and context under its exact key. Up to
@@ -52,11 +55,13 @@ from pyspark.sql import functions as F
 from ratingspark.llm.common import Scratch, chunks, small_or_not
 
 ORDER = 4
+FRAME = b" " * (ORDER // 2)
 TABLE_BYTES = 32 * 1024 * 1024   # largest model that is collected and broadcast
 ENTRY_BYTES = 8
 CONTEXT = 1 << 8 * ORDER   # keys of contexts start here, those of n-grams are smaller
 DISCOUNT = 0.75
 PHRASE = 12
+SLICE = 1 << 18   # n-grams that are worked on at once
 THRESHOLD = 0.3
 HELD_OUT, CALIBRATION = 2, 3
 REGULARISATION = 1e-3
@@ -65,19 +70,27 @@ STEP = 8          # levels of the phrase evidence per unit
 TAIL = 20         # texts that reach the last level of the curve
 LEAST_EXCESS = 0.25
 
-_CODES = np.arange(256, dtype=np.int64)
+_CODES = np.arange(256, dtype=np.uint8)
 _CODES[65:91] = _CODES[97:123]
 _CODES[48:58] = 48
 _CODES[9:14] = 32
 
 
+def slices(text: str):
+    """The n-grams of a text as numbers, first byte highest, at most SLICE at
+    a time, so working memory does not grow with the text."""
+    raw = np.frombuffer(FRAME + (text or "").encode() + FRAME, np.uint8)
+    for lo in range(0, len(raw) - ORDER + 1, SLICE):
+        x = _CODES[raw[lo:lo + SLICE + ORDER - 1]]
+        h = np.zeros(len(x) - ORDER + 1, np.int64)
+        for j in range(ORDER):
+            h = (h << 8) | x[j:len(h) + j]
+        yield h
+
+
 def ngrams(text: str) -> np.ndarray:
-    """The n-grams of a text as numbers, first byte highest."""
-    x = _CODES[np.frombuffer(b"  " + (text or "").encode() + b"  ", np.uint8)]
-    h = np.zeros(len(x) - ORDER + 1, np.int64)
-    for j in range(ORDER):
-        h = (h << 8) | x[j:len(x) - ORDER + 1 + j]
-    return h
+    """All n-grams of a text, in order."""
+    return np.concatenate(list(slices(text)))
 
 
 def slot(x: np.ndarray) -> np.ndarray:
@@ -142,13 +155,20 @@ class Judge:
 def evidence(text: str, grams: Table, contexts: Table) -> tuple[float, float, int]:
     """(per byte of the text, sum over its most toxic PHRASE bytes, windows of
     PHRASE bytes it has)."""
-    h = ngrams(text)
-    v = grams[slot(h)].astype(np.float64)
-    new = np.isnan(v)
-    v[new] = contexts[slot(h[new] >> 8)]
-    c = np.concatenate([[0.0], np.cumsum(v)])
-    phrase = (c[PHRASE:] - c[:-PHRASE]).max() if len(v) > PHRASE else c[-1]
-    return float(c[-1] / len(v)), float(phrase), max(len(v) - PHRASE + 1, 1)
+    total, n, phrase = 0.0, 0, None
+    last = np.zeros(0)   # values a window over the end of the slice starts with
+    for h in slices(text):
+        v = grams[slot(h)].astype(np.float64)
+        new = np.isnan(v)
+        v[new] = contexts[slot(h[new] >> 8)]
+        total, n = total + float(v.sum()), n + len(v)
+        v = np.concatenate([last, v])
+        if len(v) >= PHRASE:
+            c = np.concatenate([[0.0], np.cumsum(v)])
+            top = float((c[PHRASE:] - c[:-PHRASE]).max())
+            phrase = top if phrase is None else max(phrase, top)
+        last = v[-(PHRASE - 1):]
+    return (total / n if n else 0.0), (total if phrase is None else phrase), max(n - PHRASE + 1, 1)
 
 
 def fold(key: Column) -> Column:
@@ -159,18 +179,28 @@ def held_out(key: Column) -> Column:
     return F.coalesce(fold(key) == HELD_OUT, F.lit(False))
 
 
+def _counted(parts: list, toxic: list) -> pa.RecordBatch:
+    owner = np.repeat(np.array(toxic, np.int64), [len(p) for p in parts])
+    gram, code = np.unique(np.concatenate(parts), return_inverse=True)
+    n1 = np.bincount(code, owner, minlength=len(gram)).astype(np.int64)
+    n0 = np.bincount(code, minlength=len(gram)).astype(np.int64) - n1
+    return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n0), pa.array(n1)], names=["gram", "n0", "n1"])
+
+
 def _count(batches):
-    """(toxic, text) -> (gram, n0, n1), counted per batch."""
+    """(toxic, text) -> (gram, n0, n1), counted per SLICE or two of n-grams."""
     for batch in batches:
-        toxic = np.array(batch.column("toxic").to_pylist(), np.int64)
-        parts = [ngrams(t.as_py()) for t in batch.column("text")]
-        if not parts:
-            continue
-        owner = np.repeat(toxic, [len(p) for p in parts])
-        gram, code = np.unique(np.concatenate(parts), return_inverse=True)
-        n1 = np.bincount(code, owner, minlength=len(gram)).astype(np.int64)
-        n0 = np.bincount(code, minlength=len(gram)).astype(np.int64) - n1
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n0), pa.array(n1)], names=["gram", "n0", "n1"])
+        parts, toxic, size = [], [], 0
+        for label, text in zip(batch.column("toxic"), batch.column("text")):
+            for h in slices(text.as_py()):
+                parts.append(h)
+                toxic.append(label.as_py())
+                size += len(h)
+                if size >= SLICE:
+                    yield _counted(parts, toxic)
+                    parts, toxic, size = [], [], 0
+        if parts:
+            yield _counted(parts, toxic)
 
 
 def model_tables(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -262,7 +292,8 @@ def _asked(batches):
     for batch in batches:
         owner = batch.column("chunk").to_numpy(zero_copy_only=False)
         for chunk in np.unique(owner):
-            h = np.unique(np.concatenate([ngrams(batch.column("text")[int(i)].as_py()) for i in np.flatnonzero(owner == chunk)]))
+            texts = (batch.column("text")[int(i)].as_py() for i in np.flatnonzero(owner == chunk))
+            h = np.unique(np.concatenate([np.unique(h) for t in texts for h in slices(t)]))
             keys = np.concatenate([h, np.unique(h >> 8) + CONTEXT])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys)], names=["chunk", "key"])
 

@@ -184,3 +184,39 @@ def test_model_keeps_every_ngram(spark, corpus):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert len(a) == odd.count() and [r[0] for r in sorted(a, key=key)] == [r[0] for r in sorted(b, key=key)]
     assert [r[1] for r in sorted(a, key=key)] == pytest.approx([r[1] for r in sorted(b, key=key)], abs=1e-9)
+
+
+def test_slices_change_nothing(monkeypatch):
+    r = random.Random(5)
+    texts = ["", "a", "é" * 40, "".join(r.choice("abcde fghi") for _ in range(3000))]
+    grams = np.unique(np.concatenate([X.ngrams(t) for t in texts]))
+    values = np.random.default_rng(2).normal(size=len(grams))
+    model = X.tables(grams, values)
+    whole = [X.ngrams(t) for t in texts]
+    want = [X.evidence(t, *model) for t in texts]
+    for size in (1, 3, X.PHRASE - 1, X.PHRASE, 100):
+        monkeypatch.setattr(X, "SLICE", size)
+        for t, h, (mean, phrase, windows) in zip(texts, whole, want):
+            assert (X.ngrams(t) == h).all() and max(len(x) for x in X.slices(t)) <= size
+            got = X.evidence(t, *model)
+            assert abs(got[0] - mean) < 1e-9 and abs(got[1] - phrase) < 1e-6 and got[2] == windows
+
+
+def test_counts_of_slices_add_up(monkeypatch):
+    import pyarrow as pa
+
+    rows = [(1, "abcabcabc " * 30), (0, None), (0, "abcabc"), (1, "")]
+    batch = pa.RecordBatch.from_pydict({"toxic": [y for y, _ in rows], "text": pa.array([t for _, t in rows], pa.string())})
+
+    def counted():
+        out = {}
+        for b in X._count([batch]):
+            for g, n0, n1 in zip(*(c.to_pylist() for c in b.columns)):
+                a, c = out.get(g, (0, 0))
+                out[g] = (a + n0, c + n1)
+        return out
+
+    want = counted()
+    assert sum(a + c for a, c in want.values()) == sum(len(X.ngrams(t)) for _, t in rows)
+    monkeypatch.setattr(X, "SLICE", 7)
+    assert counted() == want
