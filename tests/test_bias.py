@@ -127,3 +127,45 @@ def test_long_grid_is_chunked_with_same_values(spark):
     for lam in (grid[0], grid[63], grid[64], grid[99]):
         one = tune_chain(df, df, ["movieId", "userId"], [lam], 3.0, 3.0).first()["rmse"]
         assert curve[lam] == pytest.approx(one, rel=1e-12)
+
+
+def _ladder_rows(spark):
+    rows = [(u % 60, (u * 7) % 45, float(1 + (u * 3) % 10) / 2, "19%02d" % (u % 9) if u % 5 else None, u % 4) for u in range(2400)]
+    return spark.createDataFrame(rows, "userId long, movieId long, rating double, release_year string, rating_month int")
+
+
+def test_grid_rows_are_dealt_while_narrow(spark):
+    """Keys with many values: rows move before they carry the grid's columns,
+    and the biases are those of tasks that add up first."""
+    df = _ladder_rows(spark)
+    keys, grid = ["movieId", "userId", "release_year", "rating_month"], [float(x) for x in range(41)]
+    dealt = fit_chain(df, keys, grid, base=2.7, few_groups=20)
+    plain = fit_chain(df, keys, grid, base=2.7, few_groups=1000)
+    for j in range(4):
+        a, b = ({r[0]: tuple(r)[1:] for r in c.tables[j].collect()} for c in (dealt, plain))
+        assert a.keys() == b.keys()
+        assert all(a[k] == pytest.approx(b[k], rel=1e-9, abs=1e-12) for k in a)
+    assert dealt.first.columns == ["movieId", "_s", "n"]
+
+
+def test_rows_of_a_grid_move_narrow(spark, monkeypatch):
+    """No shuffle of a fit carries a column per penalty by row: the user sums
+    of 41 penalties follow the rows' shuffle."""
+    from ratingspark.operators import bias as B
+    plans = []
+    checked = B.size_checked
+    monkeypatch.setattr(B, "size_checked", lambda df, **kw: plans.append(df._jdf.queryExecution().executedPlan().toString()) or checked(df, **kw))
+    fit_chain(_ladder_rows(spark), ["movieId", "userId"], [float(x) for x in range(41)], base=2.7, few_groups=20)
+    assert plans[1].count("Exchange hashpartitioning(userId") == 1
+    assert "partial_sum" in plans[1].split("Exchange hashpartitioning(userId")[0]   # both aggregates lie after the shuffle
+    assert "partial_sum" not in plans[1].split("Exchange hashpartitioning(userId")[1]
+
+
+def test_carried_residual_equals_joins_of_every_stage(spark):
+    df = _ladder_rows(spark)
+    keys = ["movieId", "userId", "release_year", "rating_month"]
+    same = fit_chain([df, df, df, df], keys, [3.0], base=2.7)                       # the last two share their rows
+    apart = fit_chain([df.select("*") for _ in keys], keys, [3.0], base=2.7)
+    for j in range(4):
+        a, b = ({r[0]: r["b_0"] for r in c.tables[j].collect()} for c in (same, apart))
+        assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
