@@ -206,3 +206,8 @@ def test_large_stage_table_joined_while_row_is_narrow(spark):
     assert got.keys() == ref.keys()
     for k in ref:
         assert got[k] == pytest.approx(ref[k], rel=1e-12)
+
+
+def test_als_deletes_the_messages_of_older_iterations():
+    from ratingspark.operators.mf import als
+    assert als(4).getCheckpointInterval() <= 2
