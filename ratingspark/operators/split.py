@@ -7,8 +7,9 @@ md5 of the row's key columns: the smallest hashes of each stratum go to the
 hold-out. That choice is deterministic, reproducible on any cluster size and
 expressible in SQL.
 
-No stratum is ever sorted, and every hash is computed once: rows are written
-with their hash, and all steps after that read two narrow columns. The hash
+No stratum is ever sorted. Rows are read from a written table and hashed in
+each of the few scans: 32 hex digits a row would be most of what is written and
+do not compress. The hash
 that ends a stratum's quota is found by its hex digits, a few at a time: one
 histogram of (stratum, first digits), of at most strata x 16^3 rows, gives the
 size of every stratum, so its quota, and the one prefix where the quota runs
@@ -107,12 +108,13 @@ def last_hashes(hashed: DataFrame, quota, digits: int = DIGITS, few: int = FEW_R
 
 def stratified_holdout(df: DataFrame, p: float = 0.1, seed=1, y: str = "rating",
                        key_cols: list[str] | None = None, flag: str = "_holdout", digits: int = DIGITS,
-                       few: int = FEW_ROWS) -> DataFrame:
+                       few: int = FEW_ROWS, written: bool = False) -> DataFrame:
     """Add boolean column ``flag``: True for the drawn hold-out rows. The rows
-    are written once, with their hash; the flag is a comparison on that table."""
+    are written once (not at all if ``written`` says that ``df`` reads a
+    table); the flag is a comparison of the row's hash on that table."""
     key_cols = key_cols or ["userId", "movieId", y, "timestamp"]
-    written = cut_lineage(df.withColumn("_h", hash_expr(key_cols, seed, y)))
-    h = written.withColumn("_s", stratum_expr(y, rating_breaks(written, y)))
+    table = df if written else cut_lineage(df)
+    h = table.withColumn("_s", stratum_expr(y, rating_breaks(table, y))).withColumn("_h", hash_expr(key_cols, seed, y))
     last = last_hashes(h.select("_s", "_h"), lambda n: int(math.ceil(p * n)), digits, few)
     taken, tied = F.lit(False), {}
     for s, (end, n, k) in last.items():

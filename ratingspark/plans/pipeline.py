@@ -1,12 +1,12 @@
 """Ingest -> split -> tidy: the data sets every model and view starts from.
 
-    flagged                 = stratified 10 % hold-out drawn on the ratings, then LEFT JOIN movies
-                              (movie table broadcast after a size check)
-    development, validation = flagged, repaired
+    drawn                   = ratings with a stratified 10 % hold-out marked
+    development, validation = drawn, repaired, then LEFT JOIN movies (movie table broadcast after
+                              a size check); flagged = drawn LEFT JOIN movies
     training_set, test_set = tidied development, validation
     train_set, cv_set      = the same split applied to training_set
 
-The flagged rows and the four tidy sets are written once as parquet tables in the shared
+The drawn rows and the four tidy sets are written once as parquet tables in the shared
 checkpoint folder and read back: every model reads them many times, the
 scans prune columns, and the cut keeps later plans (bias chains, grids,
 SVD passes) from re-planning the split.
@@ -34,8 +34,8 @@ HOLDOUT_FRACTION = 0.1
 
 def join_movies(ratings: DataFrame, movies: DataFrame, key: str = "movieId") -> DataFrame:
     """Every rating with its movie attributes (left join: a rating of an
-    unknown movie keeps NULL title and genres)."""
-    return ratings.join(broadcast_checked(movies), key, "left")
+    unknown movie keeps NULL title and genres); ``movies`` is measured before."""
+    return ratings.join(movies, key, "left")
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -74,17 +74,29 @@ class RatingSets:
         return self._movies if self._movies is not None else movies_from_parts(self.spark, self.sf_dir)
 
     @cached_property
-    def flagged(self) -> DataFrame:
-        """Every rating with its movie attributes and ``_holdout``: drawn for
-        the outer hold-out. The draw only needs rating columns, so movies join
-        afterwards; that keeps rows one to one because movie ids are unique,
-        which is checked."""
+    def movie_table(self) -> DataFrame:
+        """The movies for joins, measured once. Joining them after the draw and
+        the repair keeps rows one to one because movie ids are unique, which is
+        checked."""
         twice = self.movies.groupBy("movieId").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("movieId").first()
         if twice is not None:
             raise ValueError(f"movie id {twice[0]} occurs more than once")
-        drawn = stratified_holdout(self.ratings, p=self.fraction, seed=OUTER_SEED,
-                                   key_cols=["userId", "movieId", "rating", "timestamp"])
-        return cut_lineage(join_movies(drawn, self.movies).select(*JOINED_COLUMNS, "_holdout"))
+        return broadcast_checked(self.movies)
+
+    def _with_movies(self, rows: DataFrame, *more: str) -> DataFrame:
+        return join_movies(rows, self.movie_table).select(*JOINED_COLUMNS, *more)
+
+    @cached_property
+    def drawn(self) -> DataFrame:
+        """Every rating with ``_holdout``: drawn for the outer hold-out. The
+        draw and the repair read and move these narrow rows, without titles."""
+        return cut_lineage(stratified_holdout(self.ratings, p=self.fraction, seed=OUTER_SEED,
+                                              key_cols=["userId", "movieId", "rating", "timestamp"]))
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        """``drawn`` with movie attributes."""
+        return self._with_movies(self.drawn, "_holdout")
 
     @property
     def joined(self) -> DataFrame:
@@ -92,7 +104,8 @@ class RatingSets:
 
     @cached_property
     def _outer(self) -> tuple[DataFrame, DataFrame]:
-        return repair_holdout(self.flagged)
+        training, holdout = repair_holdout(self.drawn)
+        return self._with_movies(training), self._with_movies(holdout)
 
     @property
     def development(self) -> DataFrame:
@@ -113,7 +126,7 @@ class RatingSets:
     @cached_property
     def _inner(self) -> tuple[DataFrame, DataFrame]:
         return holdout_split(self.training_set, p=HOLDOUT_FRACTION, seed=INNER_SEED,
-                             key_cols=["userId", "movieId", "rating", "rating_date"])
+                             key_cols=["userId", "movieId", "rating", "rating_date"], written=True)
 
     @cached_property
     def train_set(self) -> DataFrame:

@@ -81,3 +81,27 @@ def test_round_month(spark, day, expected):
 def test_epoch_date_is_utc(spark):
     df = spark.createDataFrame([(86399,), (86400,)], "ts long")
     assert [r[0] for r in df.select(epoch_to_date("ts")).collect()] == [dt.date(1970, 1, 1), dt.date(1970, 1, 2)]
+
+
+def test_draw_and_repair_move_narrow_rows(spark, monkeypatch):
+    """What the sets write before the tidy tables has no titles and no hashes;
+    an inner draw on a written table writes nothing again."""
+    from ratingspark.operators import split as S
+    from ratingspark.plans import pipeline as P
+
+    ratings = spark.createDataFrame([(u, m, float(1 + (u * m) % 10) / 2, 10**9 + u) for u in range(30) for m in range(20)],
+                                    "userId long, movieId long, rating double, timestamp long")
+    movies = spark.createDataFrame([(m, f"name {m} ({1950 + m})", "a|b") for m in range(20)], "movieId long, title string, genres string")
+    written, cut = [], S.cut_lineage
+    record = lambda df, *a, **kw: written.append(set(df.columns)) or cut(df, *a, **kw)
+    monkeypatch.setattr(S, "cut_lineage", record)
+    monkeypatch.setattr(P, "cut_lineage", record)
+    s = P.RatingSets(spark, None, ratings=ratings, movies=movies)
+    assert s.development.count() + s.validation.count() == 600
+    narrow = {"userId", "movieId", "rating", "timestamp", "_holdout", "_keep"}
+    assert written and all(c <= narrow for c in written)
+    assert s.validation.where("title IS NULL").isEmpty() and s.validation.columns == P.JOINED_COLUMNS
+    s.training_set.count()
+    written.clear()
+    S.stratified_holdout(s.training_set, 0.1, 2, key_cols=["userId", "movieId", "rating", "rating_date"], written=True).count()
+    assert written == []
