@@ -156,6 +156,29 @@ def test_svd_that_does_not_converge_raises(spark, noise):
             SV.truncated_svd(noise, rank=3, oversample=2, max_products=2, basis_bytes=basis_bytes)
 
 
+def test_svd_products_carry_only_unfinished_vectors(spark, noise, monkeypatch):
+    """With the basis on the driver, what travels after the first block is the
+    residuals of wanted vectors; 120,000 items are one stripe."""
+    import ratingspark.operators.svd as SV
+    widths, product = [], SV._normal_product
+
+    def counted(m, stripe_of, k, tables):
+        widths.append(k)
+        return product(m, stripe_of, k, tables)
+
+    monkeypatch.setattr(SV, "_normal_product", counted)
+    fit = SV.truncated_svd(noise, rank=3, oversample=5)
+    assert fit.products == len(widths) > 1 and widths[0] == 8 and max(widths[1:]) <= 3
+    assert SV.BLOCK_BYTES // (8 * 80 * SV.ITEM_BLOCK) * SV.ITEM_BLOCK >= 120_000
+
+
+def test_svd_finds_every_vector_of_a_repeated_value(spark):
+    import ratingspark.operators.svd as SV
+    rows = [(i, i, 3.0) for i in range(6)] + [(i, i, 2.0 - i / 100) for i in range(6, 60)]
+    fit = SV.truncated_svd(spark.createDataFrame(rows, "userId int, movieId int, res double"), rank=7, oversample=2)
+    assert fit.sigma == pytest.approx([3.0] * 6 + [1.94], rel=1e-8)
+
+
 def test_als_folds_do_not_depend_on_partitions(spark):
     from ratingspark.operators.mf import stationarity
     rng = np.random.default_rng(1)
