@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingspark.functions.columns import epoch_to_date, release_year, round_month, tidy_title
-from ratingspark.operators.joins import broadcast_checked
+from ratingspark.operators.joins import anti_join_all, broadcast_checked
 from ratingspark.operators.split import holdout_split, repair_holdout, stratified_holdout
 from ratingspark.session import cut_lineage
 from ratingspark.sources.fixtures import movies_from_parts, ratings_from_orders
@@ -102,11 +102,23 @@ class RatingSets:
     def joined(self) -> DataFrame:
         return self.flagged.select(*JOINED_COLUMNS)
 
+    @cached_property
+    def repaired(self) -> tuple[DataFrame, DataFrame]:
+        """``drawn`` as (development, validation) without movie attributes."""
+        return repair_holdout(self.drawn)
+
     @cached_property
     def _outer(self) -> tuple[DataFrame, DataFrame]:
-        training, holdout = repair_holdout(self.drawn)
+        training, holdout = self.repaired
         return self._with_movies(training), self._with_movies(holdout)
 
+    @cached_property
+    def removed(self) -> DataFrame:
+        """The drawn rows that are in no way in validation: an anti join on every
+        column of the narrow rows. Movie ids are unique, so rows that agree in
+        these agree in title and genres."""
+        return self._with_movies(anti_join_all(self.drawn.filter("_holdout").drop("_holdout"), self.repaired[1]))
+
     @property
     def development(self) -> DataFrame:
         return self._outer[0]

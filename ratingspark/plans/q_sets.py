@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratingspark.operators import aggregates as A
-from ratingspark.operators.joins import anti_join_all, semi_join
+from ratingspark.operators.joins import semi_join
 from ratingspark.plans import oracle as O
 from ratingspark.plans.queries import ML, TIDY, _sel, r6, register, sets
 
@@ -62,7 +62,7 @@ def _semi(s):
 
 
 def _anti(s):
-    return anti_join_all(_drawn(s), s.validation.select(*ML))
+    return s.removed.select(*ML)
 
 
 @register("join_semi", O.with_sets(_SEMI_SQL))

@@ -105,3 +105,22 @@ def test_draw_and_repair_move_narrow_rows(spark, monkeypatch):
     written.clear()
     S.stratified_holdout(s.training_set, 0.1, 2, key_cols=["userId", "movieId", "rating", "rating_date"], written=True).count()
     assert written == []
+
+
+def test_removed_rows_are_found_without_titles(spark):
+    """The anti join on every column compares narrow rows; titles come after."""
+    from ratingspark.operators.joins import anti_join_all
+    from ratingspark.plans import pipeline as P
+    from ratingspark.plans import q_sets as Q
+
+    ratings = [(u, m, float(1 + (u * m) % 10) / 2, 10**9 + u) for u in range(30) for m in range(0, 20, 1 + u % 7)]
+    ratings += [(None, 3, 2.0, None), (5, None, None, 10**9), (77, 3, 2.0, 7), (77, 3, 2.0, 7)]
+    s = P.RatingSets(spark, None, fraction=0.9, ratings=spark.createDataFrame(
+        ratings, "userId long, movieId long, rating double, timestamp long"), movies=spark.createDataFrame(
+        [(m, f"name {m} ({1950 + m})", "a|b") for m in range(19)], "movieId long, title string, genres string"))
+    got = Q._anti(s)
+    want = anti_join_all(Q._drawn(s), s.validation.select(*Q.ML))
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty()
+    anti = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftAnti" in x]
+    assert len(anti) == 1 and "title" not in anti[0] and "genres" not in anti[0] and "timestamp" in anti[0]
