@@ -172,6 +172,47 @@ def test_svd_products_carry_only_unfinished_vectors(spark, noise, monkeypatch):
     assert SV.BLOCK_BYTES // (8 * 80 * SV.ITEM_BLOCK) * SV.ITEM_BLOCK >= 120_000
 
 
+@pytest.mark.parametrize("part_cells", [800_000, 700])
+def test_svd_filter_equals_its_polynomial(spark, noise, monkeypatch, part_cells):
+    """One part or several, several item blocks: the scaled Chebyshev
+    polynomial of A'A, to single precision."""
+    import ratingspark.operators.svd as SV
+    monkeypatch.setattr(SV, "PART_CELLS", part_cells)
+    m = SV.matrix_of(noise, "userId", "movieId", "res", 8, block=16)
+    assert m.parts == -(-noise.count() // part_cells)
+    dense = np.zeros((60, 40))
+    for r in noise.collect():
+        dense[r["userId"], r["movieId"]] = r["res"]
+    values, vectors = np.linalg.eigh(dense.T @ dense)
+    cut, top = values[-9], values[-1]
+    cheb = np.polynomial.chebyshev.Chebyshev([0] * 5 + [1])
+    q = np.random.default_rng(1).normal(size=(40, 7))
+    want = (vectors * (cheb(2 * values / cut - 1) / cheb(2 * top / cut - 1))) @ vectors.T @ q
+    assert np.abs(SV._filtered(m, q, cut, top, 5) - want).max() < 1e-5
+
+
+def test_svd_with_a_short_basis_converges_in_few_steps(spark, monkeypatch):
+    """Memory for three blocks and a dense edge of the spectrum: filtered
+    vectors keep the steps few, where residuals were lost in restarts."""
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(700, 500)) * (rng.random((700, 500)) < 0.06)
+    u, i = np.nonzero(dense)
+    cells = spark.createDataFrame([(int(a), int(b), float(dense[a, b])) for a, b in zip(u, i)], "userId int, movieId int, res double")
+    collects, collected = [], SV._collected
+
+    def counted(m, parts, k, fan):
+        collects.append(k)
+        return collected(m, parts, k, fan)
+
+    monkeypatch.setattr(SV, "_collected", counted)
+    fit = SV.truncated_svd(cells, rank=8, oversample=4, basis_bytes=8 * 500 * 60)
+    assert fit.sigma == pytest.approx(list(np.linalg.svd(dense, compute_uv=False)[:8]), rel=1e-8)
+    assert fit.products == len(collects) <= 14
+    c = SV.certify(fit, powers=4)
+    assert c.residual <= 2e-6 and c.items < 1e-9 and c.users < 1e-9
+
+
 def test_svd_finds_every_vector_of_a_repeated_value(spark):
     import ratingspark.operators.svd as SV
     rows = [(i, i, 3.0) for i in range(6)] + [(i, i, 2.0 - i / 100) for i in range(6, 60)]
