@@ -213,6 +213,46 @@ def test_svd_with_a_short_basis_converges_in_few_steps(spark, monkeypatch):
     assert c.residual <= 2e-6 and c.items < 1e-9 and c.users < 1e-9
 
 
+@pytest.mark.parametrize("columns", [400, 90])
+def test_svd_long_single_precision_basis_equals_numpy(columns):
+    """Without and with restarts; the largest value occurs six times."""
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(3)
+    q = np.linalg.qr(rng.normal(size=(300, 300)))[0]
+    values = np.sort(np.append(np.full(6, 9.0), rng.random(294) * 8))[::-1]
+    a = (q * values) @ q.T
+    v, multiplied = SV._krylov_single(lambda x: (a @ x).astype(np.float32), 300, 10, 14, 1e-6, 100, columns, 1)
+    v = v.astype(np.float64)
+    assert np.diag(v.T @ a @ v) == pytest.approx(list(values[:10]), rel=1e-5)
+    assert np.linalg.norm(a @ v - v * values[:10], axis=0).max() < 3e-6 * 9
+    assert multiplied <= (300 if columns == 400 else 900)
+
+
+def test_svd_with_a_long_single_precision_basis(spark, monkeypatch):
+    """Between memory for a full basis and for a short one: few columns travel,
+    no filters run, records lie in several tasks, and the fit is exact."""
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(700, 500)) * (rng.random((700, 500)) < 0.06)
+    u, i = np.nonzero(dense)
+    cells = spark.createDataFrame([(int(a), int(b), float(dense[a, b])) for a, b in zip(u, i)], "userId int, movieId int, res double")
+    columns, single = [], SV._single_product
+
+    def counted(m, q, fan):
+        columns.append(q.shape[1])
+        return single(m, q, fan)
+
+    monkeypatch.setattr(SV, "_single_product", counted)
+    monkeypatch.setattr(SV, "_filtered", None)
+    monkeypatch.setattr(SV, "TASK_CELLS", 5000)
+    fit = SV.truncated_svd(cells, rank=8, oversample=24, basis_bytes=8 * 500 * 130)
+    assert fit.matrix.tasks == min(spark.sparkContext.defaultParallelism, len(u) // 5000)
+    assert fit.sigma == pytest.approx(list(np.linalg.svd(dense, compute_uv=False)[:8]), rel=1e-8)
+    assert 0 < sum(columns) <= 500
+    c = SV.certify(fit, powers=1)
+    assert c.residual <= 2e-6 and c.items < 1e-9 and c.users < 1e-9
+
+
 def test_svd_finds_every_vector_of_a_repeated_value(spark):
     import ratingspark.operators.svd as SV
     rows = [(i, i, 3.0) for i in range(6)] + [(i, i, 2.0 - i / 100) for i in range(6, 60)]
