@@ -315,3 +315,31 @@ def test_large_stage_table_joined_while_row_is_narrow(spark):
 def test_als_deletes_the_messages_of_older_iterations():
     from ratingspark.operators.mf import als
     assert als(4).getCheckpointInterval() <= 2
+
+
+def test_svd_basis_on_the_driver_is_bounded(spark, monkeypatch):
+    """However many columns memory holds, wide blocks iterate on CYCLE of them
+    in single precision, at few columns more than a basis for all; the double
+    precision basis and its image share ``basis_bytes``."""
+    import ratingspark.operators.svd as SV
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(700, 500)) * (rng.random((700, 500)) < 0.06)
+    u, i = np.nonzero(dense)
+    cells = spark.createDataFrame([(int(a), int(b), float(dense[a, b])) for a, b in zip(u, i)], "userId int, movieId int, res double")
+    single, local, rooms = SV._krylov_single, SV._krylov_local, []
+
+    def bounded(product, n, rank, block, tol, max_products, max_columns, seed):
+        rooms.append(max_columns)
+        v, multiplied = single(lambda q: (dense.T @ (dense @ q)).astype(np.float32), n, rank, block, tol, max_products, max_columns, seed)
+        assert multiplied <= 1.3 * single(lambda q: (dense.T @ (dense @ q)).astype(np.float32), n, rank, block, tol, max_products, n, seed)[1]
+        return v, multiplied
+
+    def checked(mat, rank, block, tol, max_products, max_columns, *more, **kw):
+        rooms.append(max_columns)
+        return local(mat, rank, block, tol, max_products, max_columns, *more, **kw)
+
+    monkeypatch.setattr(SV, "_krylov_single", bounded)
+    monkeypatch.setattr(SV, "_krylov_local", checked)
+    fit = SV.truncated_svd(cells, rank=8, oversample=25, basis_bytes=8 * 500 * 220)
+    assert rooms == [SV.CYCLE * 33, 110] and 2 * 8 * 500 * rooms[1] <= 8 * 500 * 220
+    assert fit.sigma == pytest.approx(list(np.linalg.svd(dense, compute_uv=False)[:8]), rel=1e-8)
