@@ -343,3 +343,22 @@ def test_svd_basis_on_the_driver_is_bounded(spark, monkeypatch):
     fit = SV.truncated_svd(cells, rank=8, oversample=25, basis_bytes=8 * 500 * 220)
     assert rooms == [SV.CYCLE * 33, 110] and 2 * 8 * 500 * rooms[1] <= 8 * 500 * 220
     assert fit.sigma == pytest.approx(list(np.linalg.svd(dense, compute_uv=False)[:8]), rel=1e-8)
+
+
+def test_als_tuning_keeps_no_model_of_a_fold(spark):
+    """Folds' factors are released before the next fit; only the last model's
+    stay. Large messages are checkpointed in every iteration."""
+    import time
+
+    from ratingspark.operators.mf import CHECKPOINT_EVERY, checkpoint_every
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(1, 25) for i in range(1, 13) if (u + i) % 3]
+    kept = lambda: len(spark.sparkContext._jsc.getPersistentRDDs())
+    before = kept()
+    curve, model = tune_als(spark.createDataFrame(rows, "userId int, movieId int, rating double"), ranks=(2, 3), folds=3, max_iter=2)
+    for _ in range(20):
+        if kept() - before <= 6:
+            break
+        time.sleep(0.5)
+    assert kept() - before <= 6
+    assert model.userFactors.count() == 24 and {r["n"] for r in curve.collect()} == {len(rows)}
+    assert checkpoint_every(20, 900_000, 1_200_000, 7, 7) == 1 and checkpoint_every(20, 15_000, 20_000, 6, 6) == CHECKPOINT_EVERY
