@@ -169,3 +169,41 @@ def test_carried_residual_equals_joins_of_every_stage(spark):
     for j in range(4):
         a, b = ({r[0]: r["b_0"] for r in c.tables[j].collect()} for c in (same, apart))
         assert a == pytest.approx(b, rel=1e-9, abs=1e-12)
+
+
+def test_wide_grids_are_summed_in_pieces(spark, monkeypatch):
+    """No generated function joins and sums more than PIECE penalties behind a
+    wide table, and the pieces give the curve and biases of the whole; the
+    release year may be NULL."""
+    from ratingspark.operators import bias as B
+    rows = [(u, i, float((u * 7 + i * 3) % 10 + 1) / 2, None if i % 4 == 0 else str(1990 + i % 3), u % 5)
+            for u in range(40) for i in range(12) if (u + i) % 3]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, release_year string, rating_month int")
+    keys, grid = ["movieId", "userId", "release_year", "rating_month"], [4.0 + k / 4 for k in range(31)]
+    attach, widths = B._attach, []
+
+    def counted(df, chain, upto, *more):
+        if upto > 1:
+            widths.append(chain.m)
+        return attach(df, chain, upto, *more)
+
+    monkeypatch.setattr(B, "_attach", counted)
+
+    def fitted(piece):
+        widths.clear()
+        monkeypatch.setattr(B, "PIECE", piece, raising=False)
+        chain = B.fit_chain(df, keys, grid, base=2.7, few_groups=10)
+        curve = [tuple(r) for r in B.score_chain(df, chain, 2.7, clamp=True).collect()]
+        tables = [sorted((tuple(r) for r in t.collect()), key=lambda r: str(r[0])) for t in chain.tables]
+        return curve, tables, max(widths)
+
+    curve, tables, widest = fitted(14)
+    whole, all_tables, _ = fitted(100)
+    assert widest <= 14
+    assert [r[0] for r in curve] == grid and {r[2] for r in curve} == {len(rows)}
+    for a, b in zip(curve, whole, strict=True):
+        assert a == pytest.approx(b, rel=1e-12)
+    for a, b in zip(tables, all_tables, strict=True):
+        assert [r[0] for r in a] == [r[0] for r in b]
+        for x, y in zip(a, b, strict=True):
+            assert x[1:] == pytest.approx(y[1:], rel=1e-9, abs=1e-12)
